@@ -6,16 +6,22 @@ from pyspark.sql import Column, functions as F
 
 from plumbline.functions.text import WORD_END, WORD_START, WS
 
+
+def _word(text: str) -> str:
+    """Pattern for the start of a word; looks back after the letters, which is faster."""
+    return rf"{text}(?<![\p{{L}}\p{{N}}_]{text})"
+
+
 # The wordings that state a rule.
 _BULLETS = (
-    rf"(?iu){WORD_START}exactly{WS}+([0-9]+){WS}+bullets?{WORD_END}",
-    rf"(?iu){WORD_START}in{WS}+([0-9]+){WS}+bullets?{WORD_END}",
+    rf"(?iu){_word('exactly')}{WS}+([0-9]+){WS}+bullets?{WORD_END}",
+    rf"(?iu){_word('in')}{WS}+([0-9]+){WS}+bullets?{WORD_END}",
 )
 _QUESTIONS = (
-    rf"(?iu){WORD_START}ask(?:{WS}+me)?{WS}+([0-9]+){WS}+questions?{WORD_END}",
-    rf"(?iu){WORD_START}first{WS}+([0-9]+){WS}+questions?{WORD_END}",
+    rf"(?iu){_word('ask')}(?:{WS}+me)?{WS}+([0-9]+){WS}+questions?{WORD_END}",
+    rf"(?iu){_word('first')}{WS}+([0-9]+){WS}+questions?{WORD_END}",
 )
-_JSON_ONLY = rf"(?iu){WORD_START}return{WS}+only{WS}+valid{WS}+json{WORD_END}"
+_JSON_ONLY = rf"(?iu){_word('return')}{WS}+only{WS}+valid{WS}+json{WORD_END}"
 _QUOTED_KEY = rf'"([A-Za-z_][A-Za-z0-9_]*)"{WS}*:'
 _ENUM = (
     rf"{WORD_START}[A-Za-z_][A-Za-z0-9_]*+{WORD_END}{WS}*+:{WS}*+"
@@ -50,7 +56,7 @@ def required_keys(prompt: Column) -> Column:
 def enums(prompt: Column) -> Column:
     """Unquoted ``key: "a"|"b"`` lists; a repeated key keeps the last list."""
     found = F.when(
-        F.contains(prompt, F.lit("|")), F.regexp_extract_all(prompt, F.lit(_ENUM), F.lit(0))
+        prompt.rlike(rf'"{WS}*\|{WS}*"'), F.regexp_extract_all(prompt, F.lit(_ENUM), F.lit(0))
     ).otherwise(F.array().cast("array<string>"))
     names = F.transform(found, lambda m: F.regexp_extract(m, _NAME, 0))
     values = F.transform(

@@ -6,6 +6,8 @@ all checks of an answer needs no regrouping and no shuffle.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import schemas, settings
@@ -82,18 +84,8 @@ def _or_inferred(declared: Column, inferred: Column) -> Column:
     return F.when(F.size(declared) > 0, declared).otherwise(inferred)
 
 
-def resolve_checks(df: DataFrame, infer: bool = False) -> DataFrame:
-    """Make ``checks`` complete, so that judging needs the prompt text no more.
-
-    JSON checks without required keys or allowed values take them from the
-    prompt. ``infer`` follows the older policy: undeclared checks come from the
-    prompt and bullet prefixes are ignored. On a prompt table this is done once
-    per prompt, and only the checks travel to the answers.
-    """
-    settings.ensure(df.sparkSession)
-    df = infer_checks(df) if infer else declared_checks(df)
-    prompt, is_json = F.col("prompt"), _of_kind(JSON)
-
+@cache
+def _completed(keep_prefix: bool) -> Column:
     def complete(check: Column) -> Column:
         schema = check["schema"]
         full = F.struct(
@@ -104,10 +96,25 @@ def resolve_checks(df: DataFrame, infer: bool = False) -> DataFrame:
         return F.struct(
             check["type"].alias("type"),
             check["n"].alias("n"),
-            (F.lit(None).cast("string") if infer else check["prefix"]).alias("prefix"),
+            (check["prefix"] if keep_prefix else F.lit(None).cast("string")).alias("prefix"),
             F.when(check["type"] == JSON, full).alias("schema"),
         )
 
+    return F.transform("checks", complete)
+
+
+def resolve_checks(df: DataFrame, infer: bool = False) -> DataFrame:
+    """Make ``checks`` complete, so that judging needs the prompt text no more.
+
+    JSON checks without required keys or allowed values take them from the
+    prompt. ``infer`` follows the older policy: undeclared checks come from the
+    prompt and bullet prefixes are ignored. On a prompt table this is done once
+    per prompt, and only the checks travel to the answers.
+    """
+    settings.ensure(df.sparkSession)
+    df = infer_checks(df) if infer else declared_checks(df)
+    prompt, is_json = F.col("prompt"), _of_kind(JSON)
+
     return (
         df.withColumns(
             {
@@ -115,7 +122,7 @@ def resolve_checks(df: DataFrame, infer: bool = False) -> DataFrame:
                 "_enums": F.when(is_json, inference.enums(prompt)),
             }
         )
-        .withColumn("checks", F.transform("checks", complete))
+        .withColumn("checks", _completed(keep_prefix=not infer))
         .drop("_required", "_enums")
     )
 
@@ -194,6 +201,40 @@ def _judge(m: Column) -> Column:
     ).cast(schemas.CHECK_RESULT)
 
 
+@cache
+def _steps() -> tuple[dict[str, Column], ...]:
+    """Helper columns of ``judge``, each step on top of the one before.
+
+    Columns do not change, so they are put together once per process.
+    """
+    text = F.col("cleaned")
+    return (
+        {
+            "_lines": F.when(_of_kind(BULLETS, QUESTIONS), lines(text)),
+            "_bullets": F.when(_of_kind(BULLETS), bullets.bullet_count(text)),
+            "_candidate": F.when(_of_kind(JSON), jsontext.candidate(text)),
+        },
+        {"_value": jsontext.strict_value(F.col("_candidate"))},
+        {
+            "_members": jsontext.members(F.col("_value")),
+            "_type": jsontext.type_name(F.col("_candidate")),
+        },
+        {"_measured": F.transform("checks", _measure)},
+        {"results": F.transform("_measured", _judge)},
+    )
+
+
+@cache
+def _outcome() -> Column:
+    passed = lambda r: r["pass"]
+    fields = F.struct(
+        "results",
+        F.when(F.size("checks") > 0, F.forall("results", passed)).alias("pass_all"),
+        F.size(F.filter("results", passed)).cast("bigint").alias("n_passed"),
+    )
+    return F.inline_outer(F.array(fields))
+
+
 def judge(df: DataFrame) -> DataFrame:
     """Add ``results`` (one record per check), ``pass_all`` and ``n_passed``.
 
@@ -202,34 +243,12 @@ def judge(df: DataFrame) -> DataFrame:
     asks for it.
     """
     settings.ensure(df.sparkSession)
-    text = F.col("cleaned")
-    parts = (
-        df.withColumns(
-            {
-                "_lines": F.when(_of_kind(BULLETS, QUESTIONS), lines(text)),
-                "_bullets": F.when(_of_kind(BULLETS), bullets.bullet_count(text)),
-                "_candidate": F.when(_of_kind(JSON), jsontext.candidate(text)),
-            }
-        )
-        .withColumn("_value", jsontext.strict_value(F.col("_candidate")))
-        .withColumns(
-            {
-                "_members": jsontext.members(F.col("_value")),
-                "_type": jsontext.type_name(F.col("_candidate")),
-            }
-        )
-    )
-    judged = parts.withColumn("_measured", F.transform("checks", _measure)).withColumn(
-        "results", F.transform("_measured", _judge)
-    )
-    outcome = F.struct(
-        "results",
-        F.when(F.size("checks") > 0, F.forall("results", lambda r: r["pass"])).alias("pass_all"),
-        F.size(F.filter("results", lambda r: r["pass"])).cast("bigint").alias("n_passed"),
-    )
+    judged = df
+    for step in _steps():
+        judged = judged.withColumns(step)
     # Unpacked by a generator: filters on the outcome stay above it. Moved below,
     # they would repeat the whole evaluation.
-    return judged.select(*df.columns, F.inline_outer(F.array(outcome)))
+    return judged.select(*df.columns, _outcome())
 
 
 def evaluate(df: DataFrame, infer: bool = False) -> DataFrame:

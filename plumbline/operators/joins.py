@@ -1,33 +1,32 @@
-"""Joins of prompts, answers, verdicts and paired scores."""
+"""Joins of prompts, answers, verdicts and paired scores.
+
+The look-up side holds each key once; Spark broadcasts it when its size allows.
+Beyond that an id with very many answers is split by the adaptive skew join,
+which ``settings.ensure`` turns on for plans that aggregate by id afterwards.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.operators.scale import salted_lookup
+from plumbline import settings
 from plumbline.settings import MODELS
 
 
 def join_prompts_outputs(prompts: DataFrame, generations: DataFrame) -> DataFrame:
     """Every answer with its prompt and declared checks, matched by id."""
-    return salted_lookup(
-        generations.select("id", "model", "variant", "raw"),
-        prompts.select("id", "prompt", "checks"),
-        keys=["id"],
-        spread=["model", "variant", "raw"],
-        how="inner",
-    ).select("id", "model", "variant", "prompt", "checks", "raw")
+    settings.ensure(prompts.sparkSession)
+    answers = generations.select("id", "model", "variant", "raw")
+    return answers.join(prompts.select("id", "prompt", "checks"), "id").select(
+        "id", "model", "variant", "prompt", "checks", "raw"
+    )
 
 
 def join_checks(prompts: DataFrame, generations: DataFrame) -> DataFrame:
     """The same without the prompt text, for checks that are already complete."""
-    return salted_lookup(
-        generations.select("id", "model", "variant", "raw"),
-        prompts.select("id", "checks"),
-        keys=["id"],
-        spread=["model", "variant", "raw"],
-        how="inner",
-    )
+    settings.ensure(prompts.sparkSession)
+    answers = generations.select("id", "model", "variant", "raw")
+    return answers.join(prompts.select("id", "checks"), "id")
 
 
 def _of(model: str, field: str) -> Column:
@@ -52,8 +51,9 @@ def replay_lookup(
 
     ``items`` is the long table of a run: id, prompt, model, variant, raw and
     verdict (pass_all, checks as JSON text). Only requested answers are pivoted,
-    and the requests for a much-wanted prompt are spread over salts.
+    each once, however often it is requested.
     """
+    settings.ensure(items.sparkSession)
     wanted = requests.select("id", "variant").distinct()
     chosen = items.join(wanted, ["id", "variant"], "left_semi")
     wide = chosen.groupBy("id", "variant").agg(
@@ -80,9 +80,7 @@ def replay_lookup(
         *[_of(m, "raw").alias(m) for m in models],
         text.alias("eval_text"),
     )
-    # Other columns of a request (who asked, when) tell repeated requests apart.
-    spread = [c for c in requests.columns if c not in ("id", "variant")] or ["id"]
-    return salted_lookup(requests, replies, ["id", "variant"], spread, "inner")
+    return requests.join(replies, ["id", "variant"])
 
 
 def join_chosen_rejected(logliks: DataFrame) -> DataFrame:

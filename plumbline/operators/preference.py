@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from plumbline import settings
 from plumbline.functions.text import words
-from plumbline.operators.scale import salted_lookup
 
 
 def completion_loglik(
@@ -116,27 +116,26 @@ def word_tokens(texts: DataFrame, keys: list[str], col: str = "text") -> DataFra
     ).where(F.isnotnull("token"))
 
 
-def ngram_token_logp(
-    tokens: DataFrame, corpus: DataFrame, order: int = 2, spread: tuple[str, ...] = ("pos",)
-) -> DataFrame:
+def ngram_token_logp(tokens: DataFrame, corpus: DataFrame, order: int = 2) -> DataFrame:
     """Add ``logp`` from add-one n-gram counts of a token table.
 
     Both tables hold ``token`` and ``prev``. Counting is partial before the
-    shuffle; the look-up of counts splits the frequent words.
+    shuffle. A few words make up much of any text, so the look-up of their
+    counts is skewed on the token side and left to the adaptive skew join.
     """
+    settings.ensure(tokens.sparkSession)
     if order not in (1, 2):
         raise ValueError("order is 1 or 2")
-    unigrams = corpus.groupBy("token").agg(F.count(F.lit(1)).alias("_uni"))
-    vocabulary = unigrams.agg(F.count(F.lit(1))).scalar()
+    n = F.count(F.lit(1))
+    unigrams = corpus.groupBy("token").agg(n.alias("_hits"))
+    vocabulary = unigrams.agg(n).scalar()
     if order == 1:
-        total = unigrams.agg(F.sum("_uni")).scalar()
-        counted = salted_lookup(tokens, unigrams, ["token"], list(spread))
-        hits, base = F.col("_uni"), total
+        counted = tokens.join(unigrams, "token", "left")
+        base = unigrams.agg(F.sum("_hits")).scalar()
     else:
-        contexts = corpus.groupBy("prev").agg(F.count(F.lit(1)).alias("_context"))
-        bigrams = corpus.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("_bi"))
-        counted = salted_lookup(tokens, bigrams, ["prev", "token"], list(spread))
-        counted = salted_lookup(counted, contexts, ["prev"], list(spread))
-        hits, base = F.col("_bi"), F.coalesce("_context", F.lit(0))
-    chance = (F.coalesce(hits, F.lit(0)) + F.lit(1)) / (base + vocabulary)
-    return counted.withColumn("logp", F.ln(chance)).drop("_uni", "_bi", "_context")
+        bigrams = corpus.groupBy("prev", "token").agg(n.alias("_hits"))
+        contexts = corpus.groupBy("prev").agg(n.alias("_context"))
+        counted = tokens.join(bigrams, ["prev", "token"], "left").join(contexts, "prev", "left")
+        base = F.coalesce("_context", F.lit(0))
+    chance = (F.coalesce("_hits", F.lit(0)) + F.lit(1)) / (base + vocabulary)
+    return counted.withColumn("logp", F.ln(chance)).drop("_hits", "_context")

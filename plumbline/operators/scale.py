@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from plumbline.functions.hashing import seeded_hash
 
 _SPAN_BITS = 21
-_HOT_SHARE = 1 / 512
-_SALTS = 32
 _HASH_BITS = 60
 _BUCKET_BITS = 20
 
@@ -95,44 +93,6 @@ def running_total(
     )
 
 
-def salted_lookup(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-) -> DataFrame:
-    """Equi-join where a few keys of ``big`` may hold most of its rows.
-
-    Keys above 1/512 of the rows are hot, so there are fewer than 512 of them
-    and their list is safe to broadcast. Hot rows are spread over 32 salts by
-    the ``spread`` columns and the matching rows of ``small`` are repeated that
-    often; all other rows join as usual. ``small`` holds each key once.
-    """
-    keys = list(keys)
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(
-        counts.where(F.col("_n") > total * F.lit(_HOT_SHARE)).select(*keys, F.lit(True).alias("_hot"))
-    )
-    no_match = F.lit(False)
-    for k in keys:
-        no_match = no_match | F.isnull(k)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(_SALTS)).cast("int")
-    left = big.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_match, salt).otherwise(F.lit(0))
-    )
-    right = small.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    return left.drop("_hot").join(right.drop("_hot"), keys + ["_salt"], how).drop("_salt")
-
-
 def hash_position(key: Column, seed: int) -> Column:
     """Place of a row in the seeded random order: hash first, key to break ties."""
     return F.struct(seeded_hash(key, seed).alias("h"), key.alias("k"))

@@ -689,7 +689,6 @@ def ngram_token_logp(spark, sf):
     scored = preference.ngram_token_logp(
         preference.word_tokens(sides, ["pair_id", "side"]),
         preference.word_tokens(train, ["pair_id"]),
-        spread=("pair_id", "pos"),
     )
     micro = F.round(F.col("logp") * 1e6).cast("bigint")
     return scored.groupBy("pair_id", "side").agg(

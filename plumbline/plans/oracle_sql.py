@@ -303,8 +303,8 @@ FROM (SELECT id, model, n_passed, max(n_passed) OVER (PARTITION BY id) AS best
 _MODEL_LIST = "(SELECT unnest(['base','sft','dpo']) AS model)"
 _CTE["summary"] = f"""
 SELECT 'pass_all_rate' AS metric, m.model, NULL::VARCHAR AS check_type,
-  count_if(pass_all)::BIGINT AS num, count(pass_all)::BIGINT AS den,
-  CASE WHEN count(pass_all) > 0 THEN count_if(pass_all) / count(pass_all) END AS rate
+  count(*) FILTER (WHERE pass_all) AS num, count(pass_all)::BIGINT AS den,
+  CASE WHEN count(pass_all) > 0 THEN count(*) FILTER (WHERE pass_all) / count(pass_all) END AS rate
 FROM {_MODEL_LIST} m LEFT JOIN verdicts v ON v.model = m.model AND v.variant = 'det' GROUP BY m.model
 UNION ALL
 SELECT 'per_check_rate', model, type, count_if(pass)::BIGINT, count(*)::BIGINT, count_if(pass) / count(*)
@@ -389,7 +389,7 @@ SELECT {_strip('prompt')} AS prompt, {_strip('chosen')} AS chosen, {_strip('reje
   count(*) OVER () AS written FROM pref_texts
 """
 _QUERY["sink_run_payload"] = """
-SELECT p.id, category, count(v.model) AS outputs, count_if(pass_all)::BIGINT AS passed, count(pass_all) AS applicable
+SELECT p.id, category, count(v.model) AS outputs, count(*) FILTER (WHERE pass_all) AS passed, count(pass_all) AS applicable
 FROM kept_prompts p LEFT JOIN verdicts v USING (id) GROUP BY p.id, category
 """
 _QUERY["sink_eval_summary"] = "SELECT * FROM summary"
@@ -476,8 +476,8 @@ _QUERY["replay_lookup"] = _QUERY["replay_lookup"].replace(
 )
 _QUERY["join_chosen_rejected"] = "SELECT * FROM scores"
 _QUERY["pass_all_rate"] = f"""
-SELECT m.model, count_if(pass_all)::BIGINT AS passed, count(pass_all) AS applicable,
-  CASE WHEN count(pass_all) > 0 THEN count_if(pass_all) / count(pass_all) END AS rate
+SELECT m.model, count(*) FILTER (WHERE pass_all) AS passed, count(pass_all) AS applicable,
+  CASE WHEN count(pass_all) > 0 THEN count(*) FILTER (WHERE pass_all) / count(pass_all) END AS rate
 FROM {_MODEL_LIST} m LEFT JOIN verdicts v USING (model) GROUP BY m.model
 """
 _QUERY["per_check_rate"] = """
@@ -649,7 +649,7 @@ GROUP BY pair_id, side
 """
 _QUERY["stream_pass_rate"] = """
 SELECT make_timestamp((ord // 60) * 3600 * 1000000) AS window_start, model,
-  count_if(pass_all)::BIGINT AS passed, count(pass_all) AS applicable
+  count(*) FILTER (WHERE pass_all) AS passed, count(pass_all) AS applicable
 FROM (SELECT c.id, c.model, c.variant, bool_and(r.pass) AS pass_all
       FROM cleaned c LEFT JOIN results_all r USING (id, model, variant) GROUP BY ALL)
 JOIN prompts USING (id) GROUP BY ALL

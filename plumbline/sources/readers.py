@@ -104,11 +104,12 @@ def src_generation_artifact(
         "outputs_clean": _per_model("string", models, variants),
         "auto_eval": _per_model("struct<pass_all:boolean,checks:string>", models, variants),
     }
-    item = ",".join(f"{name}:{kind}" for name, kind in fields.items())
     if multiline:
+        item = ",".join(f"{name}:{kind}" for name, kind in fields.items())
         df = _reader(spark, "json", f"items array<struct<{item}>>", True).load(path)
         df = df.select(F.inline("items"))
     else:
+        item = ",".join(f"{name} {kind}" for name, kind in fields.items())
         df = _reader(spark, "json", item, False).load(path)
     rows = F.array(
         *[
