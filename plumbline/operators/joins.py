@@ -1,32 +1,25 @@
-"""Joins of prompts, answers, verdicts and paired scores.
-
-The look-up side holds each key once; Spark broadcasts it when its size allows.
-Beyond that an id with very many answers is split by the adaptive skew join,
-which ``settings.ensure`` turns on for plans that aggregate by id afterwards.
-"""
+"""Joins of prompts, answers, verdicts and paired scores."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline import settings
+from plumbline.operators.scale import lookup_join
 from plumbline.settings import MODELS
 
 
 def join_prompts_outputs(prompts: DataFrame, generations: DataFrame) -> DataFrame:
     """Every answer with its prompt and declared checks, matched by id."""
-    settings.ensure(prompts.sparkSession)
     answers = generations.select("id", "model", "variant", "raw")
-    return answers.join(prompts.select("id", "prompt", "checks"), "id").select(
+    return lookup_join(answers, prompts.select("id", "prompt", "checks"), ["id"]).select(
         "id", "model", "variant", "prompt", "checks", "raw"
     )
 
 
 def join_checks(prompts: DataFrame, generations: DataFrame) -> DataFrame:
     """The same without the prompt text, for checks that are already complete."""
-    settings.ensure(prompts.sparkSession)
     answers = generations.select("id", "model", "variant", "raw")
-    return answers.join(prompts.select("id", "checks"), "id")
+    return lookup_join(answers, prompts.select("id", "checks"), ["id"])
 
 
 def _of(model: str, field: str) -> Column:
@@ -53,9 +46,8 @@ def replay_lookup(
     verdict (pass_all, checks as JSON text). Only requested answers are pivoted,
     each once, however often it is requested.
     """
-    settings.ensure(items.sparkSession)
     wanted = requests.select("id", "variant").distinct()
-    chosen = items.join(wanted, ["id", "variant"], "left_semi")
+    chosen = lookup_join(items, wanted, ["id", "variant"], "left_semi")
     wide = chosen.groupBy("id", "variant").agg(
         F.any_value("prompt", F.lit(True)).alias("prompt"),
         *[
@@ -80,7 +72,7 @@ def replay_lookup(
         *[_of(m, "raw").alias(m) for m in models],
         text.alias("eval_text"),
     )
-    return requests.join(replies, ["id", "variant"])
+    return lookup_join(requests, replies, ["id", "variant"])
 
 
 def join_chosen_rejected(logliks: DataFrame) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline import settings
 from plumbline.functions.text import words
+from plumbline.operators.scale import lookup_join
 
 
 def completion_loglik(
@@ -121,21 +121,21 @@ def ngram_token_logp(tokens: DataFrame, corpus: DataFrame, order: int = 2) -> Da
 
     Both tables hold ``token`` and ``prev``. Counting is partial before the
     shuffle. A few words make up much of any text, so the look-up of their
-    counts is skewed on the token side and left to the adaptive skew join.
+    counts is skewed on the token side.
     """
-    settings.ensure(tokens.sparkSession)
     if order not in (1, 2):
         raise ValueError("order is 1 or 2")
     n = F.count(F.lit(1))
     unigrams = corpus.groupBy("token").agg(n.alias("_hits"))
     vocabulary = unigrams.agg(n).scalar()
     if order == 1:
-        counted = tokens.join(unigrams, "token", "left")
+        counted = lookup_join(tokens, unigrams, ["token"], "left")
         base = unigrams.agg(F.sum("_hits")).scalar()
     else:
         bigrams = corpus.groupBy("prev", "token").agg(n.alias("_hits"))
         contexts = corpus.groupBy("prev").agg(n.alias("_context"))
-        counted = tokens.join(bigrams, ["prev", "token"], "left").join(contexts, "prev", "left")
+        counted = lookup_join(tokens, bigrams, ["prev", "token"], "left")
+        counted = lookup_join(counted, contexts, ["prev"], "left")
         base = F.coalesce("_context", F.lit(0))
     chance = (F.coalesce("_hits", F.lit(0)) + F.lit(1)) / (base + vocabulary)
     return counted.withColumn("logp", F.ln(chance)).drop("_hits", "_context")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from plumbline import settings
 from plumbline.functions.hashing import seeded_hash
 
 _SPAN_BITS = 21
@@ -93,6 +95,25 @@ def running_total(
     )
 
 
+def lookup_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join with a table that holds each key once, where one key may be very hot.
+
+    Spark broadcasts ``small`` when its size allows. Otherwise the adaptive skew
+    join splits the rows of a hot key over tasks and repeats the one matching
+    row. It can do so only when each side comes straight out of a shuffle of its
+    own. A ``small`` that is an aggregate is already partitioned by its keys and
+    would be joined in place; the key is therefore wrapped in a record.
+    """
+    settings.ensure(big.sparkSession)
+    present = reduce(Column.__and__, [F.isnotnull(k) for k in keys])
+    key = F.when(present, F.struct(*keys))
+    left = big.withColumn("_key", key)
+    right = small.withColumn("_key", key).drop(*keys)
+    return left.join(right, "_key", how).drop("_key")
+
+
 def hash_position(key: Column, seed: int) -> Column:
     """Place of a row in the seeded random order: hash first, key to break ties."""
     return F.struct(seeded_hash(key, seed).alias("h"), key.alias("k"))

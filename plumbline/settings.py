@@ -11,11 +11,9 @@ _RUNTIME = {
     # JSON objects and inferred enum lists keep the last of repeated keys.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Split the rows of a hot join key over tasks, also where an aggregation by
-    # that key follows and the split costs it a shuffle.
+    # Split the rows of a hot join key over tasks.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 MODELS = ("base", "sft", "dpo")
