@@ -12,9 +12,9 @@ _FENCE = "```"
 def _between(text: Column, opener: str, closer: str) -> Column:
     start = F.instr(text, opener)
     end = last_index(text, closer)
-    return F.when(
-        (start > 0) & (end > start), F.substring(text, start, end - start + F.lit(1))
-    )
+    found = F.when(end > start, F.substring(text, start, end - start + F.lit(1)))
+    # The byte search of contains() is much faster than counting places
+    return F.when(F.contains(text, F.lit(opener)), found)
 
 
 def candidate(text: Column) -> Column:
@@ -23,9 +23,8 @@ def candidate(text: Column) -> Column:
     close_at = F.position(F.lit(_FENCE), text, open_at + F.lit(3))
     body = F.substring(text, open_at + F.lit(3), close_at - open_at - F.lit(3))
     body = strip(F.regexp_replace(body, F.lit(r"(?iu)\Ajson"), F.lit("")))
-    return F.when((open_at > 0) & (close_at > 0), body).otherwise(
-        F.coalesce(_between(text, "{", "}"), _between(text, "[", "]"))
-    )
+    fenced = F.when(F.contains(text, F.lit(_FENCE)), F.when(close_at > 0, body))
+    return F.coalesce(fenced, _between(text, "{", "}"), _between(text, "[", "]"))
 
 
 def strict_value(c: Column) -> Column:

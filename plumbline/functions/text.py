@@ -36,7 +36,7 @@ def lines(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """White-space tokens, the default where no token column is supplied."""
-    return F.filter(F.split(c, f"{WS}+", -1), lambda s: s != "")
+    return F.array_remove(F.split(c, WS, -1), "")
 
 
 def last_index(c: Column, char: str) -> Column:

@@ -84,6 +84,14 @@ def _or_inferred(declared: Column, inferred: Column) -> Column:
     return F.when(F.size(declared) > 0, declared).otherwise(inferred)
 
 
+def _undeclared(field: str) -> Column:
+    """Whether some JSON check leaves the field to the prompt."""
+    return F.exists(
+        "checks",
+        lambda c: (c["type"] == JSON) & (F.coalesce(F.size(c["schema"][field]), F.lit(0)) <= 0),
+    )
+
+
 @cache
 def _completed(keep_prefix: bool) -> Column:
     def complete(check: Column) -> Column:

@@ -562,7 +562,8 @@ def json_enum_check(spark, sf):
 
 @query
 def check_json_schema(spark, sf):
-    rows = checks.check_json_schema(_cleaned_with_prompt(spark, sf), derived.TICKET)
+    # The schema declares all, so no prompt is needed
+    rows = checks.check_json_schema(_cleaned(spark, sf), derived.TICKET)
     return rows.select(
         *KEY, "pass", "reason", "found_type",
         F.array_join("missing", ",").alias("missing"),
@@ -572,15 +573,11 @@ def check_json_schema(spark, sf):
 
 @query
 def run_checks(spark, sf):
-    results, _ = checks.run_checks(_answers_to_check(spark, sf))
-    return results.select(*KEY, "type", "pass", "reason", "found_count", "found_type", "expected")
-
-
-def _answers_to_check(spark, sf) -> DataFrame:
-    joined = joins.join_prompts_outputs(
-        derived.prompts(spark, sf), filters.drop_missing_outputs(derived.generations(spark, sf))
+    answers = format_eval.evaluated_answers(
+        derived.prompts(spark, sf), derived.generations(spark, sf), skip=()
     )
-    return shaping.clean_outputs(joined)
+    results = checks.check_results(answers)
+    return results.select(*KEY, "type", "pass", "reason", "found_count", "found_type", "expected")
 
 
 def _listed(rows: DataFrame) -> DataFrame:

@@ -28,6 +28,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return settings.ensure(spark).read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Small files make fewer scan tasks than there are cores; large ones are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _lit(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -145,7 +151,7 @@ def _check(kind: str, n: str = "null", prefix: str = "null", schema: str = "null
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prompt per document: a rule in words, the whole text, declared checks."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
     ticket = (
         "named_struct('type', 'object', 'required', array('intent', 'urgency'), "
