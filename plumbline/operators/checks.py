@@ -121,13 +121,12 @@ def resolve_checks(df: DataFrame, infer: bool = False) -> DataFrame:
     """
     settings.ensure(df.sparkSession)
     df = infer_checks(df) if infer else declared_checks(df)
-    prompt, is_json = F.col("prompt"), _of_kind(JSON)
-
+    prompt = F.col("prompt")
     return (
         df.withColumns(
             {
-                "_required": F.when(is_json, inference.required_keys(prompt)),
-                "_enums": F.when(is_json, inference.enums(prompt)),
+                "_required": F.when(_undeclared("required"), inference.required_keys(prompt)),
+                "_enums": F.when(_undeclared("enums"), inference.enums(prompt)),
             }
         )
         .withColumn("checks", _completed(keep_prefix=not infer))

@@ -30,7 +30,8 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "pair_id") -> Dat
     if n <= 0:
         return df.where(F.lit(False))
     last = nth_position(df, key, seed, lambda total: F.lit(n)).scalar()
-    return df.where(F.isnull(last) | (hash_position(F.col(key), seed) <= last))
+    # No such row: the table has fewer than n
+    return df.where(F.coalesce(hash_position(F.col(key), seed) <= last, F.lit(True)))
 
 
 def head_n(df: DataFrame, n: int = 100, order: str = "row") -> DataFrame:

@@ -43,6 +43,9 @@ def running_total(
     key = F.when(
         F.isnull(key), F.raise_error(F.lit(f"{order} is null")).cast("bigint")
     ).otherwise(key)
+    # Never null, so that no null filter makes the uses of ``fine`` differ and
+    # its shuffle is shared by them.
+    key = F.coalesce(key, F.lit(0))
     group_key = F.struct(*group) if group else F.lit(0)
     keyed = df.select(
         "*",
