@@ -57,10 +57,13 @@ def pack_sequences(
     """
     group = [shard] if shard else []
     start, n = F.col("_start"), F.col(length)
-    placed = running_total(df.where(n > 0), group, ord, n, "_start")
+    placed = running_total(df, group, ord, n, "_start")
     first = F.floor(start / block).cast("bigint")
     last = F.floor((start + n - 1) / block).cast("bigint")
-    cut = placed.withColumn("block_id", F.explode(F.sequence(first, last)))
+    # Empty sequences lie in no block. They go after the placement, as a filter
+    # on the length before it would take the length twice where it is computed.
+    blocks = F.when(n > 0, F.sequence(first, last))
+    cut = placed.withColumn("block_id", F.explode_outer(blocks)).where(F.isnotnull("block_id"))
     begin = F.col("block_id") * block - start
     return cut.withColumns(
         {
