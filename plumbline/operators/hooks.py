@@ -82,7 +82,8 @@ def batch_score(
     """Token log-probabilities of both completions of every pair.
 
     ``fn(prompts, completions)`` gives per text the number of prompt tokens and
-    the log-probability of every token of the whole text.
+    the log-probability of every token of the whole text. Texts stay where they
+    are: each task scores its own pairs, one model after the other.
     """
     work = (
         pairs.select(
@@ -93,7 +94,6 @@ def batch_score(
             ).alias("side", "completion"),
         )
         .withColumn("model", F.explode(F.array(*map(F.lit, models))))
-        .repartition("pair_id", "model", "side")
         .sortWithinPartitions("model")
     )
 

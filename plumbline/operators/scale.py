@@ -35,7 +35,8 @@ def running_total(
     2**21 values, which a unique key can fill with at most 2**21 rows. Sums per
     range are taken by partial aggregation; prefix sums over those small tables
     give each range its offset, and only the rows of one range are windowed
-    together. One group may hold most of the table.
+    together. One group may hold most of the table. A range is sorted in one
+    task, so pass keys and lengths and leave long texts out.
     """
     if not isinstance(df.schema[order].dataType, _INTEGRAL):
         raise TypeError(f"{order} must be a whole number")

@@ -701,4 +701,5 @@ def stream_pass_rate(spark, sf):
     arrived = derived.generations(spark, sf).select(
         *KEY, "raw", F.timestamp_seconds(F.col("ord") * 60).alias("arrived")
     )
-    return pass_rate.replay(arrived, declared)
+    rates = pass_rate.replay(arrived, declared)
+    return rates.withColumn("window_start", F.unix_seconds("window_start"))

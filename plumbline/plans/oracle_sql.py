@@ -648,7 +648,7 @@ LEFT JOIN (SELECT prev, count(*) AS n FROM corpus_tokens GROUP BY ALL) c USING (
 GROUP BY pair_id, side
 """
 _QUERY["stream_pass_rate"] = """
-SELECT make_timestamp((ord // 60) * 3600 * 1000000) AS window_start, model,
+SELECT (ord // 60) * 3600 AS window_start, model,
   count(*) FILTER (WHERE pass_all) AS passed, count(pass_all) AS applicable
 FROM (SELECT c.id, c.model, c.variant, bool_and(r.pass) AS pass_all
       FROM cleaned c LEFT JOIN results_all r USING (id, model, variant) GROUP BY ALL)
