@@ -658,10 +658,11 @@ def schema_gate(spark, sf):
 @query
 def batch_generate(spark, sf):
     prompts = derived.prompts(spark, sf).select("id", "ord", "prompt")
-    chat = shaping.render_chat_prompt(prompts).withColumn(
-        "n_tokens", F.size(words(F.col("chat_prompt"))).cast("bigint")
-    )
-    batches = ordering.length_sorted_batches(chat)
+    chat = shaping.render_chat_prompt(prompts).drop("prompt")
+    # Batches are planned on lengths; the texts join their batch once
+    lengths = chat.select("id", "ord", _n(F.size(words(F.col("chat_prompt"))), "n_tokens"))
+    planned = ordering.length_sorted_batches(lengths).select("id", "batch_id")
+    batches = chat.join(planned, "id")
     return hooks.batch_generate(batches, standins.digest_model, variants=settings.VARIANTS)
 
 
