@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import quality
+from plumbline.llm import quality, simhash
 from plumbline.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, labels).select("doc_id", "quality_verdict.*")
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op8_quality_rules, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {}
