@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import quality, simhash
+from plumbline.llm import decontaminate, oracle, quality, simhash
 from plumbline.llm.common import table
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.quality_rules(docs, labels).select("doc_id", "quality_verdict.*")
@@ -17,6 +21,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op5_decontaminate, op8_quality_rules, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
