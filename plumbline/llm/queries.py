@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, oracle, quality, simhash
+from plumbline.llm import decontaminate, mixing, oracle, quality, simhash
 from plumbline.llm.common import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -21,6 +25,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_decontaminate, op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op8_quality_rules, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
