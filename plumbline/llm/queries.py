@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, mixing, oracle, quality, simhash
+from plumbline.llm import decontaminate, mixing, oracle, quality, simhash, token_files
 from plumbline.llm.common import table
+from plumbline.settings import scratch_path
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def tokens_written_and_read(docs: DataFrame) -> DataFrame:
+    path = scratch_path(docs.sparkSession, "tokens")
+    token_files.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_tokens(docs.sparkSession, path)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_written_and_read(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.quality_rules(docs, labels).select("doc_id", "quality_verdict.*")
@@ -25,6 +37,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op7_token_files, op8_quality_rules, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
