@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, mixing, oracle, quality, simhash, token_files
+from plumbline.llm import decontaminate, mixing, oracle, quality, simhash, token_files, toxicity
 from plumbline.llm.common import table
 from plumbline.settings import scratch_path
 
@@ -18,6 +18,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.held_out()
+    return toxicity.toxicity(docs.select("doc_id", "text"), labels, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "toxicity.score", "toxicity.predicted", "toxicity.spans"
+    )
+
+
 def tokens_written_and_read(docs: DataFrame) -> DataFrame:
     path = scratch_path(docs.sparkSession, "tokens")
     token_files.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"))
@@ -37,6 +45,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op7_token_files, op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op6_toxicity, op7_token_files, op8_quality_rules, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
