@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, mixing, oracle, quality, simhash, token_files, toxicity
+from plumbline.llm import decontaminate, mixing, oracle, pii, quality, simhash, token_files, toxicity
 from plumbline.llm.common import table
 from plumbline.settings import scratch_path
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_decontaminate, op6_toxicity, op7_token_files, op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (
+        op1_pii,
+        op2_mixing,
+        op5_decontaminate,
+        op6_toxicity,
+        op7_token_files,
+        op8_quality_rules,
+        op10_simhash,
+    )}
 
 ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
