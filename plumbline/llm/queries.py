@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, mixing, oracle, pii, quality, simhash, token_files, toxicity
-from plumbline.llm.common import table
+from plumbline.llm import chat_format, decontaminate, mixing, oracle, pii, quality, simhash, token_files, toxicity
+from plumbline.llm.common import stored, table
 from plumbline.settings import scratch_path
 
 
@@ -18,6 +18,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat_format.control_string_chat(spark))
+    pieces = chat_format.format_records(chat_format.rows_as_records(rows))
+    return chat_format.read_chats(stored(pieces, "chats"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
         op1_pii,
         op2_mixing,
+        op3_chat_format,
         op5_decontaminate,
         op6_toxicity,
         op7_token_files,
