@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import chat_format, decontaminate, mixing, oracle, pii, quality, simhash, token_files, toxicity
+from plumbline.llm import chat_format, decontaminate, html_extract, mixing, oracle, pii, quality, simhash, token_files, toxicity
 from plumbline.llm.common import stored, table
 from plumbline.settings import scratch_path
 
@@ -25,6 +25,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_chats(stored(pieces, "chats"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ QUERIES = {f.__name__: f for f in (
         op1_pii,
         op2_mixing,
         op3_chat_format,
+        op4_html_extract,
         op5_decontaminate,
         op6_toxicity,
         op7_token_files,
