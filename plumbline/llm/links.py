@@ -41,6 +41,7 @@ def bucket_links(
     payload: Sequence[str],
     near: Callable[[dict[str, list | np.ndarray]], Callable[[int, np.ndarray], np.ndarray]],
     cell: int = CELL,
+    fetch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``a, b``: verified links between members that share a bucket.
 
@@ -50,14 +51,22 @@ def bucket_links(
     yields at most k - 1 of them per cell.
 
     Buckets are counted first, by partial aggregation, and single members go no
-    further. A bucket of up to ``cell`` members is one cell. A larger one is cut
+    further; of buckets with the very same members, told by two hashes of the
+    set, one is looked at. ``fetch`` may add the payload to the rows that are
+    left (by ``_member``), so that it is not carried through the counting. A bucket of up to ``cell`` members is one cell. A larger one is cut
     into chunks by hash and each pair of chunks makes a cell, so no task ever
     holds more than about two chunks and still every pair of members meets.
     """
-    counts = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    sets = [F.bit_xor(F.xxhash64(F.lit(salt), member)).alias(f"_set{salt}") for salt in (1, 2)]
+    counts = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"), *sets).where("_n > 1")
+    counts = (
+        counts.groupBy("_n", "_set1", "_set2")
+        .agg(F.min(F.struct(*bucket)).alias("_b"))
+        .select("_n", *(F.col(f"_b.{c}").alias(c) for c in bucket))
+    )
     chunks = F.ceil(F.col("_n") / cell)
     placed = (
-        lookup_join(members, counts, bucket)
+        lookup_join(members.select(*dict.fromkeys([*bucket, member, *([] if fetch else payload)])), counts, bucket)
         .withColumn("_chunks", chunks)
         .withColumn("_own", F.pmod(F.xxhash64(F.lit("chunk"), member), F.col("_chunks")))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_chunks") - 1)))
@@ -65,11 +74,11 @@ def bucket_links(
             # Two cells under one hash would only be compared needlessly.
             F.xxhash64(*bucket, F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_cell"),
             F.col(member).alias("_member"),
-            *payload,
+            *([] if fetch else payload),
         )
-        .repartition("_cell")
-        .sortWithinPartitions("_cell", "_member")
     )
+    placed = fetch(placed) if fetch else placed
+    placed = placed.repartition("_cell").sortWithinPartitions("_cell", "_member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def judged(rows: pa.Table) -> list[tuple[int, int]]:

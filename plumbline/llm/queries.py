@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import chat_format, decontaminate, html_extract, mixing, oracle, pii, quality, simhash, token_files, toxicity
+from plumbline.llm import chat_format, decontaminate, html_extract, line_dedup, mixing, oracle, pii, quality, simhash, token_files, toxicity
 from plumbline.llm.common import stored, table
 from plumbline.settings import scratch_path
 
@@ -56,6 +56,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, labels).select("doc_id", "quality_verdict.*")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {f.__name__: f for f in (
         op6_toxicity,
         op7_token_files,
         op8_quality_rules,
+        op9_line_dedup,
         op10_simhash,
     )}
 
