@@ -11,7 +11,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words whose ids are remembered per Python worker.
-REMEMBER = 400_000
+REMEMBER = 600_000
 
 #: Letters and marks whose normal form, lower case and splitting are plain: one
 #: piece of letters, one of the marks behind it.
@@ -98,9 +98,15 @@ class WordEncoder:
                 letters.lower() if letters.isascii() else letters.lower().encode().decode("latin-1").translate(visible)
                 for _, letters, _ in plain
             ]
-            pieces = list(dict.fromkeys(p for s, (_, _, marks) in zip(spelled, plain) for p in (s, marks) if p))
-            ids = dict(zip(pieces, self._pieces(pieces)))
-            ids[""] = b""
+            known = self.known.get
+            ids = {"": b""}
+            for s, (_, letters, marks) in zip(spelled, plain):
+                for piece, own in ((s, letters.lower()), (marks, marks)):
+                    if piece not in ids:
+                        ids[piece] = known(own.encode())
+            pieces = [p for p, found in ids.items() if found is None]
+            if pieces:
+                ids.update(zip(pieces, self._pieces(pieces)))
             found = {word: ids[s] + ids[marks] for s, (word, _, marks) in zip(spelled, plain)}
         if odd:
             found.update(zip((w for w, _ in odd), self._odd([t for _, t in odd])))
@@ -110,7 +116,8 @@ class WordEncoder:
         return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
+        # Ids do not tell upper from lower case.
+        words = [t.lower().split() for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > self.remember:
             self.known = {}
