@@ -11,7 +11,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words whose ids are remembered per Python worker.
-REMEMBER = 600_000
+REMEMBER = 300_000
 
 #: Letters and marks whose normal form, lower case and splitting are plain: one
 #: piece of letters, one of the marks behind it.
