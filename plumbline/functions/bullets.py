@@ -25,8 +25,8 @@ def prefixed_count(lines: Column, prefix: Column) -> Column:
 def first_lines(lines: Column, n: Column) -> Column:
     """The first n lines; a negative n drops that many from the end."""
     size = F.size(lines)
-    keep = F.when(n >= 0, n).otherwise(F.greatest(size + n, F.lit(0)))
-    return F.slice(lines, F.lit(1), keep)
+    keep = F.when(n >= 0, F.least(n, size)).otherwise(F.greatest(size + n, F.lit(0)))
+    return F.slice(lines, F.lit(1), keep.cast("int"))
 
 
 def all_questions(lines: Column) -> Column:

@@ -12,6 +12,8 @@ def _word(text: str) -> str:
     return rf"{text}(?<![\p{{L}}\p{{N}}_]{text})"
 
 
+_LARGEST = (1 << 63) - 1
+
 # The wordings that state a rule.
 _BULLETS = (
     rf"(?iu){_word('exactly')}{WS}+([0-9]+){WS}+bullets?{WORD_END}",
@@ -22,6 +24,7 @@ _QUESTIONS = (
     rf"(?iu){_word('first')}{WS}+([0-9]+){WS}+questions?{WORD_END}",
 )
 _JSON_ONLY = rf"(?iu){_word('return')}{WS}+only{WS}+valid{WS}+json{WORD_END}"
+# How a prompt shows keys and allowed values.
 _QUOTED_KEY = rf'"([A-Za-z_][A-Za-z0-9_]*)"{WS}*:'
 _ENUM = (
     rf"{WORD_START}[A-Za-z_][A-Za-z0-9_]*+{WORD_END}{WS}*+:{WS}*+"
@@ -32,8 +35,11 @@ _QUOTED = r'"([^"]+)"'
 
 
 def _first_number(prompt: Column, patterns: tuple[str, ...]) -> Column:
-    found = [F.regexp_extract(prompt, p, 1) for p in patterns]
-    return F.coalesce(*[F.nullif(f, F.lit("")).try_cast("int") for f in found])
+    """The number of the first wording found; one beyond BIGINT is the largest BIGINT."""
+    digits = F.coalesce(*[F.nullif(F.regexp_extract(prompt, p, 1), F.lit("")) for p in patterns])
+    return F.when(
+        F.isnotnull(digits), F.coalesce(digits.try_cast("bigint"), F.lit(_LARGEST).cast("bigint"))
+    )
 
 
 def bullets(prompt: Column) -> Column:

@@ -31,7 +31,7 @@ def declared_checks(df: DataFrame) -> DataFrame:
 def _check(kind: str, n: Column | None = None, schema: Column | None = None) -> Column:
     return F.struct(
         F.lit(kind).alias("type"),
-        (F.lit(None) if n is None else n).cast("int").alias("n"),
+        (F.lit(None) if n is None else n).cast("bigint").alias("n"),
         F.lit(None).cast("string").alias("prefix"),
         (F.lit(None) if schema is None else schema).cast(schemas.CHECK_SCHEMA).alias("schema"),
     )
@@ -173,6 +173,8 @@ def _json_reason(m: Column) -> Column:
 
 def _judge(m: Column) -> Column:
     kind = m["type"]
+    # A declared check that lacks its number says nothing about the answer.
+    no_number = kind.isin(BULLETS, QUESTIONS) & F.isnull(m["n"])
     too_few = F.size(m["head"]) < m["n"]
     broken = _json_reason(m)
     passed = (
@@ -181,7 +183,8 @@ def _judge(m: Column) -> Column:
         .when(kind == JSON, F.isnull(broken))
     )
     reason = (
-        F.when((kind == QUESTIONS) & too_few, "too_few_lines")
+        F.when(no_number, "missing_n")
+        .when((kind == QUESTIONS) & too_few, "too_few_lines")
         .when(kind == JSON, broken)
         .when(~kind.isin(BULLETS, QUESTIONS), F.concat(F.lit("unknown_check:"), kind))
     )
@@ -189,7 +192,7 @@ def _judge(m: Column) -> Column:
     wrong_type = (kind == JSON) & (broken == "wrong_type")
     return F.struct(
         kind.alias("type"),
-        F.coalesce(passed, F.lit(False)).alias("pass"),
+        F.when(~no_number, F.coalesce(passed, F.lit(False))).alias("pass"),
         reason.alias("reason"),
         F.when(kind == BULLETS, m["found"])
         .when((kind == QUESTIONS) & too_few, F.size(m["head"]).cast("bigint"))
@@ -303,7 +306,7 @@ def check_literal(
     """A check as a literal column."""
     return F.struct(
         F.lit(kind).alias("type"),
-        F.lit(n).cast("int").alias("n"),
+        F.lit(n).cast("bigint").alias("n"),
         F.lit(prefix).cast("string").alias("prefix"),
         _schema_literal(schema).alias("schema"),
     )

@@ -76,10 +76,14 @@ def replay_lookup(
 
 
 def join_chosen_rejected(logliks: DataFrame) -> DataFrame:
-    """Both log-likelihoods of a pair side by side; one aggregation, no self-join."""
+    """Both log-likelihoods of a pair side by side; one aggregation, no self-join.
+
+    A side that has no row is null, and so is the margin. Completions without
+    tokens are no missing side: ``completion_loglik`` keeps them by its ``pairs``.
+    """
 
     def side(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("side") == name, F.col("logp"))), F.lit(0))
+        return F.sum(F.when(F.col("side") == name, F.col("logp")))
 
     return (
         logliks.groupBy("pair_id", "model")

@@ -42,21 +42,24 @@ def preference_accuracy(
 ) -> DataFrame:
     """Per model: pairs, share won by the chosen side, mean margin, ties.
 
-    A margin between 0 and ``eps`` is a tie and correct. Models listed in
-    ``models`` are reported even without pairs, with zeros.
+    A margin between 0 and ``eps`` is a tie and correct. A margin that is not a
+    number or not known (a pair that lacks a side) counts as a pair that was
+    not won; the mean is over the known margins and shows a NaN. Models listed
+    in ``models`` are reported even without pairs, with zeros.
     """
-    rows = margins.select("model", "margin")
+    rows = margins.select("model", "margin", F.lit(1).alias("pair"))
     if models is not None:
         listed = margins.sparkSession.range(1).select(
             F.explode(F.array(*map(F.lit, models))).alias("model")
         )
         rows = rows.where(F.col("model").isin(*models)).unionByName(listed, allowMissingColumns=True)
     margin, zero = F.col("margin"), F.lit(0.0)
-    n = F.count("margin")
+    n, known = F.count("pair"), F.count("margin")
+    won = (margin > 0) & ~F.isnan(margin.cast("double"))
     return rows.groupBy("model").agg(
         n.alias("n"),
-        F.coalesce(F.try_divide(F.count_if(margin > 0), n), zero).alias("preference_accuracy"),
-        F.coalesce(F.try_divide(F.sum("margin").cast("double"), n), zero).alias("avg_logp_margin"),
+        F.coalesce(F.try_divide(F.count_if(won), n), zero).alias("preference_accuracy"),
+        F.coalesce(F.try_divide(F.sum("margin").cast("double"), known), zero).alias("avg_logp_margin"),
         F.count_if(F.abs(margin) < eps).alias("ties"),
     )
 
@@ -119,23 +122,25 @@ def word_tokens(texts: DataFrame, keys: list[str], col: str = "text") -> DataFra
 def ngram_token_logp(tokens: DataFrame, corpus: DataFrame, order: int = 2) -> DataFrame:
     """Add ``logp`` from add-one n-gram counts of a token table.
 
-    Both tables hold ``token`` and ``prev``. Counting is partial before the
-    shuffle. A few words make up much of any text, so the look-up of their
+    Both tables hold ``token`` and ``prev``. The corpus is counted once, by
+    pairs and partially before the shuffle; contexts and words are sums over
+    those counts. An empty corpus gives null. A few words make up much of any text, so the look-up of their
     counts is skewed on the token side.
     """
     if order not in (1, 2):
         raise ValueError("order is 1 or 2")
     n = F.count(F.lit(1))
-    unigrams = corpus.groupBy("token").agg(n.alias("_hits"))
-    vocabulary = unigrams.agg(n).scalar()
     if order == 1:
+        unigrams = corpus.groupBy("token").agg(n.alias("_hits"))
+        vocabulary = unigrams.agg(n).scalar()
         counted = lookup_join(tokens, unigrams, ["token"], "left")
         base = unigrams.agg(F.sum("_hits")).scalar()
     else:
         bigrams = corpus.groupBy("prev", "token").agg(n.alias("_hits"))
-        contexts = corpus.groupBy("prev").agg(n.alias("_context"))
+        vocabulary = bigrams.select("token").distinct().agg(n).scalar()
+        contexts = bigrams.groupBy("prev").agg(F.sum("_hits").alias("_context"))
         counted = lookup_join(tokens, bigrams, ["prev", "token"], "left")
         counted = lookup_join(counted, contexts, ["prev"], "left")
         base = F.coalesce("_context", F.lit(0))
-    chance = (F.coalesce("_hits", F.lit(0)) + F.lit(1)) / (base + vocabulary)
+    chance = F.try_divide(F.coalesce("_hits", F.lit(0)) + F.lit(1), base + vocabulary)
     return counted.withColumn("logp", F.ln(chance)).drop("_hits", "_context")

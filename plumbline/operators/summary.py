@@ -27,11 +27,11 @@ def pass_all_rate(verdicts: DataFrame, models: tuple[str, ...] = MODELS) -> Data
 
 
 def per_check_rate(results: DataFrame, models: tuple[str, ...] = MODELS) -> DataFrame:
-    """Per model and check type: passed among all."""
+    """Per model and check type: passed among all that could be judged."""
     return (
         results.where(F.col("model").isin(*models))
         .groupBy("model", F.col("type").alias("check_type"))
-        .agg(F.count_if("pass").alias("passed"), F.count(F.lit(1)).alias("total"))
+        .agg(F.count_if("pass").alias("passed"), F.count("pass").alias("total"))
         .withColumn("rate", F.try_divide("passed", "total"))
     )
 
@@ -69,13 +69,13 @@ def wins_and_ties(
     )
 
 
-def _fact(metric: str, model: Column, kind: Column, num: Column, den: Column) -> Column:
+def _fact(metric: str, models: tuple[str, ...], **fields: Column) -> Column:
+    """A contribution to one metric; a score keeps its prompt and has a slot per model."""
+    kinds = {"id": "string", "model": "string", "check_type": "string", "num": "bigint", "den": "bigint"}
+    kinds |= {f"score_{m}": "bigint" for m in models}
     return F.struct(
         F.lit(metric).alias("metric"),
-        model.cast("string").alias("model"),
-        kind.cast("string").alias("check_type"),
-        num.cast("bigint").alias("num"),
-        den.cast("bigint").alias("den"),
+        *(fields.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()),
     )
 
 
@@ -84,65 +84,70 @@ def eval_summary(
 ) -> DataFrame:
     """All rates, wins and ties of one variant as rows of one table.
 
-    The answers are evaluated once: a prompt's models meet in one aggregation
-    by id, carrying only the outcome of each check, and each prompt then yields
-    its contributions to every metric. Win and tie rows have no denominator.
+    The answers are evaluated once: each yields its contributions to the rates
+    and one score for its prompt, and a hash aggregation over numbers only takes
+    both together. Rates come out of it as one row per task and metric, scores
+    as one row per prompt, which give wins and ties. Every answer counts in the
+    rates, also where a prompt, model and variant have several; the best of
+    them is the model's score. Win and tie rows have no denominator.
     """
-    none = F.lit(None)
-    compact = select_variant(evaluated, variant).select(
-        "id",
-        "model",
-        F.struct(
-            "n_passed",
-            "pass_all",
-            F.transform(
-                "results", lambda r: F.struct(r["type"].alias("type"), r["pass"].alias("pass"))
-            ).alias("results"),
-        ).alias("verdict"),
+    slots = [f"score_{m}" for m in models]
+    model, n_passed = F.col("model"), F.col("n_passed")
+    overall = _fact(
+        "pass_all_rate",
+        models,
+        model=model,
+        num=F.coalesce(F.col("pass_all").cast("bigint"), F.lit(0)),
+        den=F.isnotnull("pass_all").cast("bigint"),
     )
-    per_prompt = compact.groupBy("id").agg(
-        *[F.max(F.when(F.col("model") == m, F.col("verdict"))).alias(m) for m in models]
+    score = _fact(
+        "score", models, id=F.col("id"), **{f"score_{m}": F.when(model == m, n_passed) for m in models}
     )
-
-    def contributions(model: str) -> list[Column]:
-        v, name = F.col(model), F.lit(model)
-        overall = _fact(
-            "pass_all_rate",
-            name,
-            none,
-            v["pass_all"].cast("int"),
-            F.isnotnull(v["pass_all"]).cast("int"),
-        )
-        by_check = F.transform(
-            v["results"],
-            lambda r: _fact("per_check_rate", name, r["type"], r["pass"].cast("int"), F.lit(1)),
-        )
-        return [F.array(F.when(F.isnotnull(v), overall)), F.coalesce(by_check, F.array(none))]
-
-    outcome = _outcome({m: F.col(m)["n_passed"] for m in models})
-    result = F.array(
-        F.when(outcome == "tie", _fact("ties", none, none, F.lit(1), none)).when(
-            F.isnotnull(outcome), _fact("wins", outcome, none, F.lit(1), none)
-        )
+    by_check = F.transform(
+        "results",
+        lambda r: _fact(
+            "per_check_rate",
+            models,
+            model=model,
+            check_type=r["type"],
+            num=F.coalesce(r["pass"].cast("bigint"), F.lit(0)),
+            den=F.isnotnull(r["pass"]).cast("bigint"),
+        ),
     )
-    facts = per_prompt.select(
-        F.inline_outer(
-            F.array_compact(F.concat(*[c for m in models for c in contributions(m)], result))
-        )
-    ).where(F.isnotnull("metric"))
+    rows = select_variant(evaluated, variant).where(model.isin(*models))
+    facts = rows.select(F.inline_outer(F.concat(F.array(overall, score), by_check))).where(
+        F.isnotnull("metric")
+    )
+    keys = ("metric", "id", "model", "check_type")
+    sums = facts.groupBy(*keys).agg(
+        F.sum("num").alias("num"), F.sum("den").alias("den"), *(F.max(s).alias(s) for s in slots)
+    )
+    outcome = _outcome({m: F.col(f"score_{m}") for m in models})
+    is_score = F.col("metric") == "score"
+    told = sums.withColumn("outcome", F.when(is_score, outcome)).select(
+        F.when(~is_score, F.col("metric"))
+        .when(F.col("outcome") == "tie", "ties")
+        .when(F.isnotnull("outcome"), "wins")
+        .alias("metric"),
+        F.when(is_score & (F.col("outcome") != "tie"), F.col("outcome")).otherwise(F.col("model")).alias("model"),
+        "check_type",
+        F.when(is_score, F.lit(1)).otherwise(F.col("num")).cast("bigint").alias("num"),
+        "den",
+    )
+    zero = F.lit(0).cast("bigint")
     always = evaluated.sparkSession.range(1).select(
         F.inline(
             F.array(
-                *[_fact("pass_all_rate", F.lit(m), none, F.lit(0), F.lit(0)) for m in models],
-                _fact("ties", none, none, F.lit(0), none),
+                *[_fact("pass_all_rate", models, model=F.lit(m), num=zero, den=zero) for m in models],
+                _fact("ties", models, num=zero),
             )
         )
     )
     return (
-        facts.unionByName(always)
+        told.where(F.isnotnull("metric"))
+        .unionByName(always.select("metric", "model", "check_type", "num", "den"))
         .groupBy("metric", "model", "check_type")
         .agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
-        .withColumn("num", F.coalesce("num", F.lit(0)))
         .withColumn("rate", F.try_divide("num", "den"))
     )
 

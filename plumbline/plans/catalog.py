@@ -33,7 +33,7 @@ from plumbline.streaming import pass_rate
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-MAX_PROMPT, MAX_COMPLETION = 16, 64
+MAX_PROMPT, MAX_COMPLETION = 1024, 256
 SAMPLE = 100
 BLOCK = 512
 TEMPLATE = ChatTemplate()
@@ -702,5 +702,5 @@ def stream_pass_rate(spark, sf):
     arrived = derived.generations(spark, sf).select(
         *KEY, "raw", F.timestamp_seconds(F.col("ord") * 60).alias("arrived")
     )
-    rates = pass_rate.replay(arrived, declared)
+    rates = pass_rate.replay(arrived, declared, settings.scratch_path(spark, "stream"))
     return rates.withColumn("window_start", F.unix_seconds("window_start"))

@@ -34,6 +34,8 @@ def _lits(values) -> list[str]:
     return [_lit(v) for v in values]
 
 
+# White space, leading junk and quotes that cleaning takes off.
+_QUOTES = "`\"' \n\t"
 _WS = r"[\t\n\x{0b}\f\r\x{1c}-\x{1f}\x{85}\p{Z}]"
 _IN_CLASS = _WS[1:-1]
 _JUNK = (
@@ -44,7 +46,7 @@ _JUNK = (
 
 def _clean(x: str) -> str:
     t = f"regexp_replace(coalesce({x},''), {_lit(_JUNK)}, '')"
-    t = f"ltrim({t}, {_lit(chr(96) + chr(34) + chr(39) + ' ' + chr(10) + chr(9))})"
+    t = f"ltrim({t}, {_lit(_QUOTES)})"
     t = f"regexp_replace({t}, '\\r\\n?', chr(10), 'g')"
     return _strip(t)
 
@@ -87,7 +89,7 @@ _PY_TYPE = (
 
 def _number(patterns: list[str]) -> str:
     tries = ", ".join(
-        f"try_cast(nullif(regexp_extract(prompt, {_lit(p)}, 1), '') AS INTEGER)" for p in patterns
+        f"try_cast(nullif(regexp_extract(prompt, {_lit(p)}, 1), '') AS BIGINT)" for p in patterns
     )
     return f"coalesce({tries})"
 

@@ -6,7 +6,7 @@ CHECK_SCHEMA = (
     "struct<type:string,required:array<string>,"
     "enums:map<string,array<string>>>"
 )
-CHECKS = f"array<struct<type:string,n:int,prefix:string,schema:{CHECK_SCHEMA}>>"
+CHECKS = f"array<struct<type:string,n:bigint,prefix:string,schema:{CHECK_SCHEMA}>>"
 
 PROMPT_ITEM = f"id string, category string, prompt string, checks {CHECKS}"
 SFT_ROW = "prompt string, response string"

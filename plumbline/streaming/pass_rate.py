@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline import settings
 from plumbline.operators.checks import judge
 from plumbline.operators.filters import drop_missing_outputs
 from plumbline.operators.shaping import clean_outputs
@@ -57,16 +56,16 @@ def latest(spark, path: str) -> DataFrame:
     return rows.groupBy("window_start", "model").agg(newest).select("window_start", "model", "v.*")
 
 
-def replay(answers: DataFrame, checks: DataFrame) -> DataFrame:
-    """Send a stored table of answers through the stream."""
+def replay(answers: DataFrame, checks: DataFrame, folder: str) -> DataFrame:
+    """Send a stored table of answers through the stream; ``folder`` is new and shared by all executors."""
     spark = answers.sparkSession
-    source, out = settings.scratch_path(spark, "arrived"), settings.scratch_path(spark, "rates")
+    source, out = f"{folder}/arrived", f"{folder}/rates"
     answers.write.parquet(source)
     stream = spark.readStream.schema(answers.schema).parquet(source)
     run = start(
         windowed_pass_rate(judged_stream(stream, checks)),
         out,
-        settings.scratch_path(spark, "stream-checkpoint"),
+        f"{folder}/checkpoint",
     )
     run.awaitTermination()
     return latest(spark, out)

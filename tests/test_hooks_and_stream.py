@@ -43,13 +43,13 @@ def test_score(spark):
     assert sums == {(f"k{i}", s): v for i in range(11) for s, v in (("chosen", -1.0), ("rejected", -2.0))}
 
 
-def test_stream_equals_batch(spark):
+def test_stream_equals_batch(spark, tmp_path):
     listed = spark.createDataFrame([("p", [("exact_bullets", 1, None, None)]), ("q", [])], f"id string, checks {schemas.CHECKS}")
     answers = spark.createDataFrame(
         [(("p", "q")[i % 2], ("base", "sft")[i % 3 % 2], "det", ("- a", "x", None)[i % 3], i) for i in range(60)],
         "id string, model string, variant string, raw string, minute int",
     ).select("id", "model", "variant", "raw", F.timestamp_seconds(F.col("minute") * 600).alias("arrived"))
     static = checks.resolve_checks(listed.withColumn("prompt", F.lit(""))).select("id", "checks")
-    streamed = {tuple(r) for r in pass_rate.replay(answers, static).collect()}
+    streamed = {tuple(r) for r in pass_rate.replay(answers, static, str(tmp_path / "stream")).collect()}
     batch = pass_rate.windowed_pass_rate(pass_rate.judged_stream(answers, static))
     assert streamed == {tuple(r) for r in batch.collect()} and streamed

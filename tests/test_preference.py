@@ -61,8 +61,16 @@ def test_swapped_sides_negate_the_margin(spark):
     plain = spark.createDataFrame(rows, schema)
     swapped = spark.createDataFrame([(p, m, swap[s], x) for p, m, s, x in rows], schema)
     value = lambda d: {r.pair_id: r.margin for r in joins.join_chosen_rejected(d).collect()}
-    assert value(plain) == {"p": 2.0, "q": 1.0}
-    assert value(swapped) == {"p": -2.0, "q": -1.0}
+    assert value(plain) == {"p": 2.0, "q": None}
+    assert value(swapped) == {"p": -2.0, "q": None}
+
+
+def test_unknown_margins_are_not_won(spark):
+    r = preference.preference_accuracy(margins(spark, [float("nan"), -1])).first()
+    assert (r.n, r.preference_accuracy, r.ties) == (2, 0.0, 0) and math.isnan(r.avg_logp_margin)
+    rows = spark.createDataFrame([("base", 2.0), ("base", None)], "model string, margin double")
+    r = preference.preference_accuracy(rows).first()
+    assert (r.n, r.preference_accuracy, r.avg_logp_margin) == (2, 0.5, 2.0)
 
 
 # Published: accuracy, ties → accuracy without ties, accuracy with ties as half
@@ -90,6 +98,13 @@ def test_reference_margin(spark):
     assert got["q"] == pytest.approx((-4000.0, 4000.0))
 
 
+def test_ngram_of_nothing(spark):
+    texts = spark.createDataFrame([(1, "a b")], "k int, text string")
+    tokens = preference.word_tokens(texts, ["k"])
+    for order in (1, 2):
+        assert [r.logp for r in preference.ngram_token_logp(tokens, tokens.limit(0), order).collect()] == [None, None]
+
+
 @pytest.mark.parametrize("order", [1, 2])
 def test_ngram(spark, order):
     texts = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "")], "k int, text string")

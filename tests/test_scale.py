@@ -117,7 +117,7 @@ def test_wins_need_no_window(spark):
 
 
 def test_entry_contract():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) <= set(contract.queries()) & set(contract.oracle_sql())
 
 
 def test_each_answer_is_judged_once(spark):
