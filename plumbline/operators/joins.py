@@ -26,6 +26,7 @@ def _of(model: str, field: str) -> Column:
     return F.col(f"{model}_{field}")
 
 
+# How a verdict is shown.
 def _verdict_text(model: str) -> Column:
     verdict = _of(model, "verdict")
     passed = (
@@ -38,24 +39,31 @@ def _verdict_text(model: str) -> Column:
 
 
 def replay_lookup(
-    items: DataFrame, requests: DataFrame, models: tuple[str, ...] = MODELS
+    prompts: DataFrame,
+    answers: DataFrame,
+    requests: DataFrame,
+    models: tuple[str, ...] = MODELS,
 ) -> DataFrame:
-    """Stored answers and verdicts of each requested (id, variant).
-
-    ``items`` is the long table of a run: id, prompt, model, variant, raw and
-    verdict (pass_all, checks as JSON text). Only requested answers are pivoted,
-    each once, however often it is requested.
+    """Stored prompt, answers and verdicts of each requested (id, variant).
+
+    ``prompts`` holds id and prompt of every stored item, ``answers`` id, model,
+    variant, raw and verdict (pass_all, checks as JSON text). A stored prompt
+    without answers is shown with empty ones and ``N/A``; requests for an
+    unknown id are given by ``unknown_requests``. Answers are reduced to the
+    requested ones first and pivoted where that join leaves them, each once
+    however often it is requested; prompts are joined at the end.
     """
     wanted = requests.select("id", "variant").distinct()
-    chosen = lookup_join(items, wanted, ["id", "variant"], "left_semi")
+    # An id and variant have one answer per model, so this key is never hot.
+    chosen = answers.join(wanted, ["id", "variant"], "left_semi")
     wide = chosen.groupBy("id", "variant").agg(
-        F.any_value("prompt", F.lit(True)).alias("prompt"),
         *[
             F.any_value(F.when(F.col("model") == m, F.col(c)), F.lit(True)).alias(f"{m}_{c}")
             for m in models
             for c in ("raw", "verdict")
         ],
     )
+    # The reply's wording.
     heading = {m: f"**{m.capitalize() if m == 'base' else m.upper()}:** " for m in models}
     text = F.concat(
         *[
@@ -65,14 +73,19 @@ def replay_lookup(
         ],
         F.lit("\n"),
     )
-    replies = wide.select(
-        "id",
-        "variant",
-        "prompt",
-        *[_of(m, "raw").alias(m) for m in models],
-        text.alias("eval_text"),
+    found = lookup_join(requests.select("id", "variant"), wide, ["id", "variant"], "left")
+    replies = found.select(
+        "id", "variant", *[_of(m, "raw").alias(m) for m in models], text.alias("eval_text")
+    )
+    return lookup_join(replies, prompts.select("id", "prompt"), ["id"]).select(
+        "id", "variant", "prompt", *models, "eval_text"
     )
-    return lookup_join(requests, replies, ["id", "variant"])
+
+
+def unknown_requests(prompts: DataFrame, requests: DataFrame) -> DataFrame:
+    """``id, n``: requested ids that no stored prompt has, and how often."""
+    counted = requests.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(prompts.select("id"), "id", "left_anti")
 
 
 def join_chosen_rejected(logliks: DataFrame) -> DataFrame:

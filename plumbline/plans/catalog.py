@@ -324,13 +324,13 @@ def replay_lookup(spark, sf):
         F.transform("results", lambda r: F.concat(r["type"], F.lit("="), r["pass"].cast("string"))), ","
     )
     prompts = derived.prompts(spark, sf)
-    items = _answers(spark, sf).select(
+    answers = _answers(spark, sf).select(
         *KEY, "raw", F.struct("pass_all", outcome.alias("checks")).alias("verdict")
-    ).join(prompts.select("id", "prompt"), "id")
+    )
     requests = prompts.select(
         "id", F.explode(F.array(*map(F.lit, settings.VARIANTS))).alias("variant"), "ord"
     )
-    found = joins.replay_lookup(items, requests)
+    found = joins.replay_lookup(filters.skip_categories(prompts), answers, requests)
     return found.select(
         "id",
         "variant",

@@ -470,7 +470,8 @@ FROM (SELECT a.id, a.model, a.variant, a.raw,
         CASE WHEN count(r.idx) > 0 THEN bool_and(r.pass) END AS pass_all,
         coalesce(string_agg(r.type || '=' || r.pass, ',' ORDER BY r.idx), '') AS listed
       FROM answers a LEFT JOIN results r USING (id, model, variant) GROUP BY ALL)
-JOIN prompts USING (id) GROUP BY id, variant, prompt
+RIGHT JOIN (SELECT id, variant, prompt FROM kept_prompts, (SELECT unnest(['det','samp']) AS variant))
+  USING (id, variant) GROUP BY id, variant, prompt
 """
 _QUERY["replay_lookup"] = _QUERY["replay_lookup"].replace(
     "coalesce(CASE WHEN pass_all THEN 'True' ELSE 'False' END, 'None')",

@@ -136,6 +136,11 @@ def test_replay_keeps_repeated_requests(spark):
         "named_struct('pass_all', true, 'checks', '[]') AS verdict"
     )
     requests = spark.createDataFrame([("a", "det")] * 3 + [("b", "det")], "id string, variant string")
-    rows = joins.replay_lookup(items, requests).collect()
-    assert len(rows) == 3
+    prompts = spark.createDataFrame([("a", "p"), ("c", "q")], "id string, prompt string")
+    requests = requests.union(spark.createDataFrame([("c", "det")], requests.schema))
+    rows = joins.replay_lookup(prompts, items.drop("prompt"), requests).orderBy("id").collect()
+    assert [r.id for r in rows] == ["a", "a", "a", "c"]
+    assert (rows[3].prompt, rows[3].base) == ("q", None)
+    assert rows[3].eval_text == "**Base:** N/A\n\n**SFT:** N/A\n\n**DPO:** N/A\n"
+    assert [tuple(r) for r in joins.unknown_requests(prompts, requests).collect()] == [("b", 1)]
     assert rows[0].eval_text == "**Base:** pass_all=True | checks=[]\n\n**SFT:** N/A\n\n**DPO:** N/A\n"
