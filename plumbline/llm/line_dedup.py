@@ -20,7 +20,7 @@ SHINGLE, SIMILAR = 8, 0.8
 #: 0.8 share one of the eight bands with a chance of 0.985, of 0.9 with 0.9998.
 BANDS, ROWS = 8, 4
 #: Candidate lines whose keys are broadcast; beyond it their texts come by a shuffle.
-BROADCAST_KEYS = 4_000_000
+BROADCAST_KEYS = 1_000_000
 
 _SEED = 42  # of Spark's own xxhash64
 _SECOND = 7
