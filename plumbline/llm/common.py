@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,7 +21,20 @@ ALNUM = bytes(
 BATCH_BYTES = 16 << 20
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster without a shared installation, ship it by ``--py-files``.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
