@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import decontaminate, mixing, quality, simhash
-from plumbline.llm.common import stored, table
+from plumbline.llm.common import ready, stored, table
 from plumbline.llm.queries import tokens_written_and_read
 
 
@@ -20,6 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each SimHash class stays."""
+    ready(spark)
     return simhash.keep_one(docs)
 
 
@@ -35,6 +36,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids are written in compressed blocks; what the files hold of each document is returned."""
+    ready(spark)
     return tokens_written_and_read(docs)
 
 
