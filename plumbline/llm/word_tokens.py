@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from codecs import charmap_decode
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -13,16 +14,18 @@ from tokenizers import Tokenizer
 #: Words whose ids are remembered per Python worker.
 REMEMBER = 300_000
 
-#: Letters and marks whose normal form, lower case and splitting are plain: one
-#: piece of letters, one of the marks behind it.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
+#: ASCII marks that make one piece behind a word; an apostrophe may begin an ending instead.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters whose normal form and lower case are plain.
+_LATIN = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
 _BREAK = "\x01"
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """How byte-level BPE writes Latin-1: visible characters stay, others move up from 256."""
+def _byte_alphabet() -> str:
+    """How byte-level BPE writes bytes: visible Latin-1 characters stay, others move up from 256."""
     moved = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-    return {b: chr(256 + i) for i, b in enumerate(moved)}
+    place = {b: 256 + i for i, b in enumerate(moved)}
+    return "".join(chr(place.get(b, b)) for b in range(256))
 
 
 class WordEncoder:
@@ -52,9 +55,14 @@ class WordEncoder:
         [mark] = self.whole.encode(_BREAK, add_special_tokens=False).ids
         self.mark = mark
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece: every one ends with the one id that closes a word."""
-        lines = [" ".join(pieces[i : i + 500]) for i in range(0, len(pieces), 500)]
+        if not pieces:
+            return []
+        lines = [
+            " ".join(charmap_decode(p, "strict", self.visible)[0] for p in pieces[i : i + 500])
+            for i in range(0, len(pieces), 500)
+        ]
         ids = np.concatenate(
             [np.array(e.ids, np.uint16) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False)]
         )
@@ -82,32 +90,27 @@ class WordEncoder:
         return found
 
     def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        plain, odd, alone, found = [], [], [], {}
+        """Ids of new words, whose ASCII letters are in lower case."""
+        plain, odd, alone = [], [], []
         for word in words:
-            text = word.decode()
-            match = _PLAIN.fullmatch(text)
-            if match:
-                plain.append((word, *match.groups()))
-            elif _BREAK in text:
-                alone.append((word, text))
-            else:
-                odd.append((word, text))
-        if plain:
-            visible = self.visible
-            spelled = [
-                letters.lower() if letters.isascii() else letters.lower().encode().decode("latin-1").translate(visible)
-                for _, letters, _ in plain
-            ]
-            known = self.known.get
-            ids = {"": b""}
-            for s, (_, letters, marks) in zip(spelled, plain):
-                for piece, own in ((s, letters.lower()), (marks, marks)):
-                    if piece not in ids:
-                        ids[piece] = known(own.encode())
-            pieces = [p for p, found in ids.items() if found is None]
-            if pieces:
-                ids.update(zip(pieces, self._pieces(pieces)))
-            found = {word: ids[s] + ids[marks] for s, (word, _, marks) in zip(spelled, plain)}
+            stem = piece = word.rstrip(_MARKS)
+            if not stem.isalpha():
+                text = stem.decode()
+                if stem and not _LATIN.fullmatch(text):
+                    text = word.decode()
+                    (alone if _BREAK in text else odd).append((word, text))
+                    continue
+                piece = text.lower().encode()
+            plain.append((word, piece, word[len(stem) :]))
+        known = self.known
+        pieces = {piece for _, piece, _ in plain} | {marks for _, _, marks in plain}
+        new = [p for p in pieces if p and p not in known]
+        ids = dict(zip(new, self._pieces(new)))
+        ids[b""] = b""
+        found = {
+            word: (ids[piece] if piece in ids else known[piece]) + (ids[marks] if marks in ids else known[marks])
+            for word, piece, marks in plain
+        }
         if odd:
             found.update(zip((w for w, _ in odd), self._odd([t for _, t in odd])))
         for word, text in alone:
