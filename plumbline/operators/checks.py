@@ -367,11 +367,17 @@ def json_type_check(df: DataFrame, schema: dict) -> DataFrame:
 
 
 def json_required_keys(df: DataFrame, schema: dict | None = None) -> DataFrame:
-    """Objects only; an empty declaration falls back to the keys the prompt shows."""
+    """Objects only; an empty declaration falls back to the keys the prompt shows.
+
+    ``keys`` may hold them (see ``infer_required_keys``), so that they are read
+    once per prompt and its text is not joined to every answer.
+    """
     settings.ensure(df.sparkSession)
     declared = (schema or {}).get("required")
     required = (
-        F.array(*map(F.lit, declared)) if declared else inference.required_keys(F.col("prompt"))
+        F.array(*map(F.lit, declared))
+        if declared
+        else F.col("keys") if "keys" in df.columns else inference.required_keys(F.col("prompt"))
     )
     missing = jsontext.absent_keys(required, jsontext.members(F.col("value")))
     return df.withColumn("missing", missing).withColumn(
@@ -380,13 +386,16 @@ def json_required_keys(df: DataFrame, schema: dict | None = None) -> DataFrame:
 
 
 def json_enum_check(df: DataFrame, schema: dict | None = None) -> DataFrame:
-    """Objects and string values only; ``details`` holds the lists that were broken."""
+    """Objects and string values only; ``details`` holds the lists that were broken.
+
+    ``enums`` may hold what the prompt shows (see ``infer_enums``).
+    """
     settings.ensure(df.sparkSession)
     declared = (schema or {}).get("enums")
     enums = (
         F.create_map(*[x for k, vs in declared.items() for x in (F.lit(k), F.array(*map(F.lit, vs)))])
         if declared
-        else inference.enums(F.col("prompt"))
+        else F.col("enums") if "enums" in df.columns else inference.enums(F.col("prompt"))
     )
     breaches = jsontext.enum_breaches(enums, jsontext.members(F.col("value")))
     return df.withColumn("details", breaches).withColumn(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -43,15 +44,16 @@ def batch_generate(
     """Fill one answer per prompt, model and variant.
 
     ``batches`` carries ``batch_id`` (see ``length_sorted_batches``). A batch
-    of one model stays together; ``load(model)`` runs once per task and model,
+    stays together and crosses the shuffle once; only behind it is it repeated
+    for each model. ``load(model)`` runs once per task and model,
     ``fn(prompts, variant)`` once per batch. Filter prompts before this step:
     no predicate moves through Python.
     """
     work = (
         batches.select("id", prompt, "batch_id")
+        .repartition("batch_id")
         .withColumn("model", F.explode(F.array(*map(F.lit, models))))
         .withColumn("_job", F.concat_ws(":", "model", "batch_id"))
-        .repartition("_job")
         .sortWithinPartitions("model", "batch_id", "id")
     )
 
@@ -83,33 +85,33 @@ def batch_score(
 
     ``fn(prompts, completions)`` gives per text the number of prompt tokens and
     the log-probability of every token of the whole text. Texts stay where they
-    are: each task scores its own pairs, one model after the other.
+    are: each task scores its own pairs, one model after the other, and gives
+    one frame per batch and side.
     """
+    sides = ("chosen", "rejected")
     work = (
-        pairs.select(
-            "pair_id",
-            prompt,
-            F.explode(
-                F.create_map(F.lit("chosen"), F.col("chosen"), F.lit("rejected"), F.col("rejected"))
-            ).alias("side", "completion"),
-        )
+        pairs.select("pair_id", prompt, *sides)
         .withColumn("model", F.explode(F.array(*map(F.lit, models))))
         .sortWithinPartitions("model")
     )
 
-    def score(fn, name: str, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        scored = fn(part[prompt].tolist(), part["completion"].tolist())
-        for (_, row), (n_prompt, logps) in zip(part.iterrows(), scored, strict=True):
-            yield pd.DataFrame(
-                {
-                    "pair_id": row["pair_id"],
-                    "model": name,
-                    "side": row["side"],
-                    "pos": range(len(logps)),
-                    "is_prompt": [i < n_prompt for i in range(len(logps))],
-                    "logp": [float(x) for x in logps],
-                }
-            )
+    def score(fn, name: str, side: str, part: pd.DataFrame) -> pd.DataFrame:
+        scored = list(fn(part[prompt].tolist(), part[side].tolist()))
+        if len(scored) != len(part):
+            raise ValueError("one result per text is needed")
+        sizes = np.array([len(logps) for _, logps in scored], np.int64)
+        pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        prompts = np.repeat(np.array([n for n, _ in scored], np.int64), sizes)
+        return pd.DataFrame(
+            {
+                "pair_id": part["pair_id"].to_numpy().repeat(sizes),
+                "model": name,
+                "side": side,
+                "pos": pos,
+                "is_prompt": pos < prompts,
+                "logp": np.concatenate([np.asarray(logps, float) for _, logps in scored]),
+            }
+        )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, fn = None, None
@@ -118,6 +120,7 @@ def batch_score(
                 if model != name:
                     name, fn = model, load(model)
                 for at in range(0, len(rows), batch_size):
-                    yield from score(fn, name, rows.iloc[at : at + batch_size])
+                    for side in sides:
+                        yield score(fn, name, side, rows.iloc[at : at + batch_size])
 
     return work.mapInPandas(run, schemas.TOKEN_LOGP)

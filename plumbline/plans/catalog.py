@@ -26,6 +26,7 @@ from plumbline.operators import (
     shaping,
     summary,
 )
+from plumbline.operators.scale import lookup_join
 from plumbline.plans import derived, format_eval, preference_eval, standins
 from plumbline.sources import readers, writers
 from plumbline.streaming import pass_rate
@@ -63,11 +64,6 @@ def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return shaping.clean_outputs(answers).select("id", "model", "variant", "cleaned")
 
 
-def _cleaned_with_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    prompts = derived.prompts(spark, sf).select("id", "prompt")
-    return _cleaned(spark, sf).join(prompts, "id")
-
-
 KEY = ("id", "model", "variant")
 
 
@@ -534,7 +530,7 @@ def extract_json_candidate(spark, sf):
 
 
 def _parsed(spark, sf) -> DataFrame:
-    return checks.json_parses(checks.extract_json_candidate(_cleaned_with_prompt(spark, sf)))
+    return checks.json_parses(checks.extract_json_candidate(_cleaned(spark, sf)))
 
 
 @query
@@ -549,13 +545,15 @@ def json_type_check(spark, sf):
 
 @query
 def json_required_keys(spark, sf):
-    rows = checks.json_required_keys(_parsed(spark, sf))
+    keys = checks.infer_required_keys(derived.prompts(spark, sf)).select("id", "keys")
+    rows = checks.json_required_keys(lookup_join(_parsed(spark, sf), keys, ["id"]))
     return rows.select(*KEY, F.array_join("missing", ",").alias("missing"), "reason")
 
 
 @query
 def json_enum_check(spark, sf):
-    rows = checks.json_enum_check(_parsed(spark, sf))
+    enums = checks.infer_enums(derived.prompts(spark, sf)).select("id", "enums")
+    rows = checks.json_enum_check(lookup_join(_parsed(spark, sf), enums, ["id"]))
     names = F.array_join(F.array_sort(F.map_keys("details")), ",")
     return rows.select(*KEY, names.alias("broken"), "reason")
 
