@@ -8,9 +8,15 @@ from plumbline.operators.scale import running_total
 
 
 def length_sorted_order(
-    df: DataFrame, length: str = "n_tokens", ord: str = "ord"
+    df: DataFrame, length: str = "n_tokens", ord: str = "ord", max_length: int | None = None
 ) -> DataFrame:
-    """Add ``rank`` from 1: longest first, ties in original order."""
+    """Add ``rank`` from 1: longest first, ties in original order.
+
+    Prompts are cut to ``max_length`` before they are ordered: longer ones have
+    that length, so they tie and keep their order.
+    """
+    if max_length is not None:
+        df = df.withColumn(length, F.least(F.col(length), F.lit(max_length).cast("bigint")))
     return running_total(
         df, [length], ord, F.lit(1), "rank", descending_groups=True
     ).withColumn("rank", F.col("rank") + F.lit(1))
@@ -27,13 +33,16 @@ def length_sorted_batches(
     ord: str = "ord",
     batch_size: int = 8,
     multiple: int = 8,
+    max_length: int | None = None,
 ) -> DataFrame:
     """Cut the length order into batches and pad each to its longest row.
 
+    No row is padded beyond ``max_length`` rounded up.
+
     The window holds ``batch_size`` rows; its shuffle by ``batch_id`` is the
     one a batch hook needs anyway.
     """
-    ranked = length_sorted_order(df, length, ord).withColumn(
+    ranked = length_sorted_order(df, length, ord, max_length).withColumn(
         "batch_id", F.floor((F.col("rank") - 1) / batch_size).cast("bigint")
     )
     longest = F.max(length).over(Window.partitionBy("batch_id"))

@@ -145,7 +145,10 @@ def sink_pairs_json(spark, sf):
 def sink_run_payload(spark, sf):
     path = settings.scratch_path(spark, "run")
     prompts = filters.skip_categories(derived.prompts(spark, sf))
-    answers = _answers(spark, sf)
+    # Judged once: items and summary are both built from the written table.
+    judged = settings.scratch_path(spark, "judged")
+    _answers(spark, sf).write.parquet(judged)
+    answers = spark.read.parquet(judged)
     writers.sink_run_payload(
         prompts, answers, summary.eval_summary(answers), path, {"batch_size": 8, "max_new_tokens": 256}
     )
@@ -409,18 +412,20 @@ def preference_margin_vs_reference(spark, sf):
 
 @query
 def length_sorted_order(spark, sf):
-    return ordering.length_sorted_order(derived.prompt_lengths(spark, sf)).select("id", "n_tokens", "rank")
+    return ordering.length_sorted_order(derived.prompt_lengths(spark, sf), max_length=MAX_PROMPT).select(
+        "id", "n_tokens", "rank"
+    )
 
 
 @query
 def restore_order(spark, sf):
-    ranked = ordering.length_sorted_order(derived.prompt_lengths(spark, sf))
+    ranked = ordering.length_sorted_order(derived.prompt_lengths(spark, sf), max_length=MAX_PROMPT)
     return ordering.restore_order(ranked).select("id", "ord", "rank")
 
 
 @query
 def length_sorted_batches(spark, sf):
-    rows = ordering.length_sorted_batches(derived.prompt_lengths(spark, sf))
+    rows = ordering.length_sorted_batches(derived.prompt_lengths(spark, sf), max_length=MAX_PROMPT)
     return rows.select("id", "batch_id", "padded_len", "waste")
 
 
@@ -659,7 +664,7 @@ def batch_generate(spark, sf):
     chat = shaping.render_chat_prompt(prompts).drop("prompt")
     # Batches are planned on lengths; the texts join their batch once
     lengths = chat.select("id", "ord", _n(F.size(words(F.col("chat_prompt"))), "n_tokens"))
-    planned = ordering.length_sorted_batches(lengths).select("id", "batch_id")
+    planned = ordering.length_sorted_batches(lengths, max_length=MAX_PROMPT).select("id", "batch_id")
     batches = chat.join(planned, "id")
     return hooks.batch_generate(batches, standins.digest_model, variants=settings.VARIANTS)
 

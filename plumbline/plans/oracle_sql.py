@@ -360,8 +360,9 @@ SELECT model, count(*) AS n, count_if(margin > 0)::BIGINT AS correct, sum(margin
 """
 _CTE["lengths"] = f"SELECT id, ord, len({_words('prompt')})::BIGINT AS n_tokens FROM prompts"
 _CTE["ranked"] = """
-SELECT *, row_number() OVER (ORDER BY n_tokens DESC, ord) AS rank FROM lengths
-"""
+SELECT *, row_number() OVER (ORDER BY n_tokens DESC, ord) AS rank
+FROM (SELECT id, ord, least(n_tokens, @MAX@) AS n_tokens FROM lengths)
+""".replace("@MAX@", str(MAX_PROMPT))
 _CTE["seeded"] = """
 SELECT *, ('0x'||substr(md5('42:' || pair_id),1,15))::BIGINT AS place FROM pref_pairs
 """

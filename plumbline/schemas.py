@@ -8,7 +8,7 @@ CHECK_SCHEMA = (
 )
 CHECKS = f"array<struct<type:string,n:bigint,prefix:string,schema:{CHECK_SCHEMA}>>"
 
-PROMPT_ITEM = f"id string, category string, prompt string, checks {CHECKS}"
+PROMPT_ITEM = f"id string, category string, prompt string, checks {CHECKS}, json_schema {CHECK_SCHEMA}"
 SFT_ROW = "prompt string, response string"
 DPO_ROW = "prompt string, chosen string, rejected string"
 MESSAGE_PAIR = f"prompt string, chosen {MESSAGES}, rejected {MESSAGES}"

@@ -38,7 +38,11 @@ def run_items(
 def sink_run_payload(
     prompts: DataFrame, evaluated: DataFrame, summary: DataFrame, path: str, meta: dict
 ) -> None:
-    """Items, summary and run metadata as three JSON tables under ``path``."""
+    """Items, summary and run metadata as three JSON tables under ``path``.
+
+    ``evaluated`` feeds the items and, in most uses, the summary too; pass a
+    written table, so that answers are judged once.
+    """
     run_items(prompts, evaluated).write.json(f"{path}/items")
     sink_eval_summary(summary, f"{path}/auto_eval_summary")
     spark = prompts.sparkSession

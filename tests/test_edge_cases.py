@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.operators import checks, summary
+from plumbline.operators import checks, ordering, summary
+from plumbline.sources import readers
 
 
 def judged(spark, listed, answer):
@@ -56,6 +57,24 @@ def test_repeated_answers_all_count(spark):
     assert rates["base"] == (1, 2)
 
 
+def test_cut_prompts_tie(spark):
+    df = spark.createDataFrame([(0, 5), (1, 2000), (2, 1024), (3, 1500), (4, 1023)], "ord bigint, n_tokens bigint")
+    got = ordering.length_sorted_order(df, max_length=1024).orderBy("rank").collect()
+    assert [(r.ord, r.n_tokens) for r in got] == [(1, 1024), (2, 1024), (3, 1024), (4, 1023), (0, 5)]
+    batches = ordering.length_sorted_batches(df, batch_size=2, max_length=1024)
+    assert {r.padded_len for r in batches.collect()} == {1024, 8}
+
+
+def test_a_prompts_own_schema_is_read_and_used(spark, tmp_path):
+    (tmp_path / "p.json").write_text(
+        '{"id": "a", "prompt": "Return only valid JSON.", "json_schema": {"type": "object", "required": ["k"]}}\n'
+        '{"id": "b", "prompt": "Return only valid JSON."}\n'
+    )
+    items = readers.src_prompt_items(spark, str(tmp_path / "p.json"), multiline=False)
+    got = {r.id: r.checks[0] for r in checks.infer_checks(items).collect()}
+    assert (got["a"].schema.type, got["a"].schema.required) == ("object", ["k"]) and got["b"].schema is None
+
+
 def test_summary_aggregates_by_hash(spark):
     df = spark.createDataFrame([], f"id string, model string, variant string, checks {schemas.CHECKS}, cleaned string")
     plan = summary.eval_summary(checks.judge(df.withColumn("id", F.col("id"))))._jdf.queryExecution().executedPlan().toString()

@@ -98,7 +98,7 @@ def test_published_artifact_layout(spark, tmp_path):
 
 def test_run_payload(spark, tmp_path):
     prompts = spark.createDataFrame(
-        [("p", "c", "x", [("exact_bullets", 1, "- ", None)]), ("q", None, "y", None)],
+        [("p", "c", "x", [("exact_bullets", 1, "- ", None)], None), ("q", None, "y", None, None)],
         schemas.PROMPT_ITEM,
     )
     answers = spark.createDataFrame([("p", "base", "det", "- é"), ("p", "sft", "det", "1. b")], schemas.GENERATION)
