@@ -45,6 +45,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def thinned(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df`` cut by a hash of ``key`` to about twice ``rows`` different keys, all rows of each.
+
+    What a sample of the ``rows`` smallest hashes is then ordered from does not
+    grow with the table. A smaller table stays whole.
+    """
+    h = F.xxhash64(key)
+    keys = df.select(h.alias("h")).distinct().count()
+    if keys <= 2 * rows:
+        return df
+    return df.where(h < F.lit(int((2 * rows / keys) * 2**64) - 2**63))
+
+
 def as_bytes(texts: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text, one at a time; null gives none."""
     for text in texts.cast(pa.large_binary()):

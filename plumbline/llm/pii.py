@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.chains import Gap
-from plumbline.llm.common import digest, stored
+from plumbline.llm.common import digest, stored, thinned
 
 #: Texts that the field is fitted on at most, and tokens of one text.
 SAMPLE_ROWS, SAMPLE_TOKENS = 4_000, 200
@@ -259,8 +259,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     most ``SAMPLE_TOKENS`` tokens a text reach the driver.
     """
     texts = stored(
-        docs.where(F.col("text").rlike("[0-9@]"))
-        .select("text")
+        thinned(docs.where(F.col("text").rlike("[0-9@]")).select("text"), rows, "text")
         .distinct()
         .orderBy(F.xxhash64("text"), "text")
         .limit(rows),

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import as_bytes
+from plumbline.llm.common import as_bytes, thinned
 from plumbline.llm.text_stats import FEATURES, features
 
 #: At most so many labelled rows, those of the smallest id hash, are fitted.
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     fail the base rules, since the trees never decide on those.
     """
     chosen = (
-        labels.where("doc_id is not null and quality in (0, 1)")
+        thinned(labels.where("doc_id is not null and quality in (0, 1)"), sample_rows, "doc_id")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")

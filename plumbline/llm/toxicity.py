@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.llm.chains import Gap, fit_windows, forward_backward
-from plumbline.llm.common import ALNUM, as_bytes, stored
+from plumbline.llm.common import ALNUM, as_bytes, stored, thinned
 
 #: Labelled documents fitted at most, those of the smallest id hash.
 SAMPLE_ROWS = 12_000
@@ -85,7 +85,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE
     Ids on several rows of ``labels`` count once, as toxic if any says so.
     """
     chosen = (
-        labels.where(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
+        thinned(labels.where(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)), rows, "doc_id")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
