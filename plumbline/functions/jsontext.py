@@ -27,13 +27,23 @@ def candidate(text: Column) -> Column:
     return F.coalesce(fenced, _between(text, "{", "}"), _between(text, "[", "]"))
 
 
+#: A text beyond this many bytes may be too large for the parser; a failure then says nothing.
+PARSER_BYTES = 16 << 20
+#: Digits in a row that are kept; the parser stops at 1,000, and no check looks at more.
+_DIGITS = 300
+
+
 def strict_value(c: Column) -> Column:
     """The parsed value when the whole string is one JSON value, else null.
 
     A parser that stops after the first value would accept trailing text. The
     string is therefore parsed inside an array and inside an object: no text
-    can close both early, and each must hold exactly one member.
+    can close both early, and each must hold exactly one member. Long runs of
+    digits are shortened first, since the parser refuses numbers of any kind
+    beyond its own size. ``too_large`` tells what it could not judge.
     """
+    short = F.regexp_replace(c, F.lit(rf"([0-9]{{{_DIGITS}}})[0-9]++"), F.lit("$1"))
+    c = F.when(F.length(c) > _DIGITS, short).otherwise(c)
     in_array = F.try_variant_get(
         F.try_parse_json(F.concat(F.lit("["), c, F.lit("\n]"))), "$", "array<variant>"
     )
@@ -45,6 +55,11 @@ def strict_value(c: Column) -> Column:
     )
 
 
+def too_large(c: Column, value: Column) -> Column:
+    """Not parsed, but perhaps only for its size."""
+    return F.isnull(value) & (F.octet_length(c) > PARSER_BYTES)
+
+
 def members(value: Column) -> Column:
     """Members of a JSON object; null for any other value."""
     return F.try_variant_get(value, "$", "map<string,variant>")

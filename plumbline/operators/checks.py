@@ -164,6 +164,7 @@ def _json_reason(m: Column) -> Column:
     """Name of the first JSON rule that is broken; null when all hold."""
     return (
         F.when(F.coalesce(F.col("_candidate"), F.lit("")) == "", "no_json_found")
+        .when(jsontext.too_large(F.col("_candidate"), F.col("_value")), "json_too_large")
         .when(F.isnull("_value"), "json_parse_error")
         .when((m["schema"]["type"] == "object") & (F.col("_type") != "dict"), "wrong_type")
         .when(F.size(m["missing"]) > 0, "missing_keys")
@@ -173,7 +174,8 @@ def _json_reason(m: Column) -> Column:
 
 def _judge(m: Column) -> Column:
     kind = m["type"]
-    # A declared check that lacks its number says nothing about the answer.
+    # A declared check that lacks its number, or a text beyond the parser, says
+    # nothing about the answer.
     no_number = kind.isin(BULLETS, QUESTIONS) & F.isnull(m["n"])
     too_few = F.size(m["head"]) < m["n"]
     broken = _json_reason(m)
@@ -192,7 +194,10 @@ def _judge(m: Column) -> Column:
     wrong_type = (kind == JSON) & (broken == "wrong_type")
     return F.struct(
         kind.alias("type"),
-        F.when(~no_number, F.coalesce(passed, F.lit(False))).alias("pass"),
+        F.when(
+            ~no_number & ~((kind == JSON) & F.coalesce(broken == "json_too_large", F.lit(False))),
+            F.coalesce(passed, F.lit(False)),
+        ).alias("pass"),
         reason.alias("reason"),
         F.when(kind == BULLETS, m["found"])
         .when((kind == QUESTIONS) & too_few, F.size(m["head"]).cast("bigint"))

@@ -57,6 +57,15 @@ def test_repeated_answers_all_count(spark):
     assert rates["base"] == (1, 2)
 
 
+def test_json_is_not_judged_by_its_size(spark):
+    check = [("json_schema", None, None, ("object", ["k"], None))]
+    for number in ("7" * 1200, "0." + "7" * 1200, "-1" + "0" * 1200 + "e5"):
+        assert judged(spark, check, '{"k": ' + number + "}").pass_all is True
+    assert judged(spark, check, '{"k": 0' + "7" * 1200 + "}").results[0].reason == "json_parse_error"
+    r = judged(spark, check, '{"k": "' + "x" * 21_000_000 + '"}')
+    assert (r.results[0].reason, r.pass_all) in (("json_too_large", None), (None, True))
+
+
 def test_cut_prompts_tie(spark):
     df = spark.createDataFrame([(0, 5), (1, 2000), (2, 1024), (3, 1500), (4, 1023)], "ord bigint, n_tokens bigint")
     got = ordering.length_sorted_order(df, max_length=1024).orderBy("rank").collect()
