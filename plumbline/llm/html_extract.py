@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs pass points for their length and commas to their ancestors; a
-container's points are discounted by its share of link text. The best container
-and its siblings that look like it are kept, without what is no article.
+container's points are discounted by its share of link text. From the best
+container it goes up to the article or main around it, or to the body; what is
+marked as something else, and what is mostly links, is left out.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ _GOOD_WORDS = frozenset("article body main content entry story post text".split(
 _KEPT_TAGS = frozenset("html body article main #root".split())
 #: How much of a paragraph's points reaches the ancestor so many levels up.
 _SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
-_SIBLING, _DENSE = 0.2, 0.66
+#: Share of link text beyond which a box of three links is a menu, and what stands beside the article is none of it.
+_DENSE, _LINKED = 0.66, 0.25
 
 _WORDS = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -141,6 +143,56 @@ def _scored(tree: Tree, kept, size, linked, points) -> list[float]:
     return scores
 
 
+def _open_parts(tree: Tree, kept, size, linked, parent: int, inner: int) -> list[int | str]:
+    """Parts of ``parent`` without the blocks, and runs between blocks, that are link text by more than ``_LINKED``."""
+    found: list[int | str] = []
+    run: list[int | str] = []
+
+    def closed() -> None:
+        length = sum(len(_flat([p])) if isinstance(p, str) else size[p] for p in run)
+        if sum(linked[p] for p in run if not isinstance(p, str)) <= _LINKED * length:
+            found.extend(run)
+        run.clear()
+
+    for part in tree.parts[parent]:
+        if isinstance(part, str):
+            run.append(part)
+        elif part == inner or tree.tags[part] in BLOCK:
+            closed()
+            # What is dropped stays as a border between texts.
+            if part == inner or not kept[part] or linked[part] <= _LINKED * size[part]:
+                found.append(part)
+        elif kept[part]:
+            run.append(part)
+    closed()
+    return found
+
+
+def _climbed(tree: Tree, kept, size, linked, best: int) -> int:
+    """The element whose text is the article, from the best container upwards.
+
+    The outermost enclosing article, else main, is taken whole, and of its
+    parent what is no link text. Without either, so is every ancestor up to
+    the body that holds more text than the one below it.
+    """
+    outer = {}
+    node = best
+    while node >= 0:
+        for kind in {tree.tags[node], tree.attributes[node].get("role")} & {"article", "main"}:
+            outer[kind] = node
+        node = tree.parents[node]
+    node = top = outer.get("article", outer.get("main", best))
+    while tree.parents[node] >= 0 and tree.tags[node] not in ("body", "html"):
+        inner, node = node, tree.parents[node]
+        parts = _open_parts(tree, kept, size, linked, node, inner)
+        tree.parts[node] = parts
+        if any(_flat([p]) if isinstance(p, str) else kept[p] and p != inner and size[p] for p in parts):
+            top = node
+        if outer:
+            break
+    return top
+
+
 def main_text(source: str) -> str:
     """The article's blocks in page order, joined by one space; empty if there are none."""
     tree = parse(source)
@@ -152,21 +204,18 @@ def main_text(source: str) -> str:
         if not size[0] or linked[0] >= size[0]:
             return ""
         best = 0
+    above, node = set(), best
+    while node >= 0:
+        above.add(node)
+        node = tree.parents[node]
     # Lists and boxes of links inside are menus.
     for i, tag in enumerate(tree.tags):
-        if kept[i] and i != best and tag in ("ul", "ol", "div", "section", "table", "dl"):
+        if kept[i] and i not in above and tag in ("ul", "ol", "div", "section", "table", "dl"):
             if links[i] >= 3 and linked[i] > _DENSE * size[i]:
                 kept[i] = False
-    tops = [best]
-    if best and tree.tags[best] not in ("body", "html"):
-        floor = max(10.0, _SIBLING * scores[best])
-        for i in (p for p in tree.parts[tree.parents[best]] if isinstance(p, int) and kept[p] and p != best):
-            open_text = size[i] > 80 and linked[i] <= 0.25 * size[i]
-            heading = tree.tags[i] in ("h1", "h2", "h3") and not linked[i]
-            if scores[i] >= floor or tree.tags[i] == "p" and open_text or heading:
-                tops.append(i)
+    top = _climbed(tree, kept, size, linked, best)
     # A kept element below one that is not kept is never reached.
-    return " ".join(text for top in sorted(tops) for _, text in _blocks_of(tree, kept, top))
+    return " ".join(text for _, text in _blocks_of(tree, kept, top))
 
 
 def _texts(pages: pa.Array) -> pa.Array:

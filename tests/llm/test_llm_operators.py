@@ -270,6 +270,21 @@ def test_other_pages():
     assert html_extract.main_text("<" * 50_000).startswith("<")
 
 
+def test_uneven_sections_and_short_paragraphs_are_kept():
+    long = "a, b, c, " + "word " * 78 + "."
+    flat = " ".join(long.split())
+    sections = f"<section>{f'<p>{long}</p>' * 4}</section><section><h2>Next</h2><p>{long}</p></section>"
+    text = " ".join([flat] * 4 + ["Next", flat])
+    link = "<a href=x>Home page</a>"
+    for page in (
+        f"<body><div>{link}</div><article>{sections}<div><p>End.</p></div></article>",
+        f"<body><div class=page><div>{sections}</div><div><div><p>End.</p></div></div></div>{link}",
+        f"<body>{link}<div><div><div>{sections}</div></div><div>{link}</div></div><p>End.</p>",
+        f"<body><main><div>{sections}</div>End.</main><p>{link}</p>",
+    ):
+        assert html_extract.main_text(page) == text + " End."
+
+
 def test_awkward_pages(spark):
     df = spark.createDataFrame([(1, "u", None), (None, None, ""), (2, "v", "<p>a, b</p>")], "page_id int, url string, html string")
     assert [(r.text, r.n_chars) for r in html_extract.extract(df).collect()] == [("", 0), ("", 0), ("a, b", 4)]
