@@ -8,7 +8,7 @@ import numpy as np
 
 #: Ids below are tokens, ids from here on are rules; all symbols fit 16 bits.
 FIRST_RULE = 49_408
-ROUNDS, PAIRS_A_ROUND, LEAST = 4, 2_048, 12
+PAIRS_A_ROUND, LEAST = 2_048, 12
 
 _BUCKETS = 20
 
@@ -21,74 +21,120 @@ class Grammar:
     counts: np.ndarray  # uint32: symbols of each document, in order
 
 
-def _frequent(left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the pairs that occur ``least`` times; a hashed count leaves out most others."""
-    key = left.astype(np.uint32) << np.uint32(16) | right
-    bucket = (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)
-    heavy = np.bincount(bucket, minlength=1 << _BUCKETS) >= least
-    keys, counts = np.unique(key[heavy[bucket]], return_counts=True)
-    often = counts >= least
-    return keys[often], counts[often]
+def _keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.uint32) << np.uint32(16) | right
+
+
+def _heavy(key: np.ndarray, least: int) -> np.ndarray:
+    """Whether each key may occur ``least`` times; a hashed count leaves out most others."""
+    bucket = ((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp)
+    return (np.bincount(bucket, minlength=1 << _BUCKETS) >= least)[bucket]
+
+
+def _overlapping(at: np.ndarray, left: np.ndarray, right: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which pairs of equal symbols overlap the one before, taken from the left of each run. ``at`` ascends."""
+    over = np.zeros(len(at), bool)
+    equal = np.flatnonzero(left == right)
+    if len(equal):
+        starts = np.ones(len(equal), bool)
+        starts[1:] = (after[at[equal[:-1]]] != at[equal[1:]]) | (left[equal[1:]] != left[equal[:-1]])
+        place = np.arange(len(equal))
+        over[equal] = (place - np.maximum.accumulate(np.where(starts, place, 0))) % 2 == 1
+    return over
 
 
 def _chosen(keys: np.ndarray, counts: np.ndarray, most: int) -> list[tuple[int, int]]:
     """The most frequent pairs that can be replaced in one pass.
 
-    No symbol is the first of one pair and the second of another, so no two
-    occurrences overlap; pairs left out now stand again in the next round.
+    No symbol is the first of one pair and the second of another, and one that
+    is paired with itself is in no other pair, so no two occurrences overlap;
+    pairs left out now stand again in the next round.
     """
     side: dict[int, int] = {}
     pairs = []
     for key in keys[np.lexsort((keys, -counts))].tolist():
         a, b = key >> 16, key & 0xFFFF
-        if a == b or side.get(a, 0) == 1 or side.get(b, 1) == 0:
+        if a == b:
+            if a in side:
+                continue
+            side[a] = 2
+        elif side.get(a, 0) or side.get(b, 1) != 1:
             continue
-        side[a], side[b] = 0, 1
+        else:
+            side[a], side[b] = 0, 1
         pairs.append((a, b))
         if len(pairs) == most:
             break
     return pairs
 
 
-def compress(
-    ids: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, most: int = PAIRS_A_ROUND, least: int = LEAST
-) -> Grammar:
-    """Replace frequent pairs round by round. ``counts`` are the ids of each document; no pair crosses them."""
+def compress(ids: np.ndarray, counts: np.ndarray, most: int = PAIRS_A_ROUND, least: int = LEAST) -> Grammar:
+    """Replace frequent pairs until none occurs ``least`` times or all rules are used.
+
+    ``counts`` are the ids of each document; no pair crosses them. A pair gains
+    occurrences only in the round that makes one of its symbols: after the
+    first round, only places of new symbols and of pairs left out are looked at.
+    """
+    n = len(ids)
     symbols = ids.astype(np.uint16)
-    last = np.zeros(len(symbols), bool)
+    last = np.zeros(n, bool)
     ends = np.cumsum(counts)
     last[ends[counts > 0] - 1] = True
+    wide = np.int32 if n < 1 << 31 else np.int64
+    # The places of the symbols after and before each, and whether a place still holds one.
+    after, before = np.arange(1, n + 1, dtype=wide), np.arange(-1, n, dtype=wide)
+    alive = np.ones(n, bool)
     rules: list[tuple[int, int]] = []
     lengths: list[int] = []
     length = np.ones(1 << 16, np.uint32)
-    for _ in range(rounds):
-        room = min(most, (1 << 16) - FIRST_RULE - len(rules))
-        inside = ~last[:-1]
-        left, right = symbols[:-1][inside], symbols[1:][inside]
-        if room < 1 or not len(left):
-            break
-        pairs = _chosen(*_frequent(left, right, least), room)
+    at = np.flatnonzero(~last).astype(wide)
+    while len(at) and (room := min(most, (1 << 16) - FIRST_RULE - len(rules))):
+        left, right = symbols[at], symbols[after[at]]
+        key = _keys(left, right)
+        over = _overlapping(at, left, right, after)
+        if len(at) > 1 << 16:
+            heavy = _heavy(key, least)
+            at, key, over = at[heavy], key[heavy], over[heavy]
+        found, times = np.unique(key[~over] if over.any() else key, return_counts=True)
+        often = times >= least
+        pairs = _chosen(found[often], times[often], room)
         if not pairs:
             break
         a, b = np.array(pairs, np.uint32).T
-        key = a << np.uint32(16) | b
-        order = np.argsort(key)
+        key_of = a << np.uint32(16) | b
+        order = np.argsort(key_of)
         name = (FIRST_RULE + len(rules) + np.arange(len(pairs))).astype(np.uint16)
         length[name] = length[a] + length[b]
         rules.extend(pairs)
         lengths.extend(length[name].tolist())
         first, second = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
         first[a], second[b] = True, True
-        at = np.flatnonzero(first[symbols[:-1]] & second[symbols[1:]] & ~last[:-1])
-        found = symbols[at].astype(np.uint32) << np.uint32(16) | symbols[at + 1]
-        place = np.minimum(np.searchsorted(key[order], found), len(key) - 1)
-        hit = key[order][place] == found
-        at, place = at[hit], place[hit]
-        symbols[at] = name[order][place]
-        last[at] = last[at + 1]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        may = np.flatnonzero(first[key >> np.uint32(16)] & second[key & np.uint32(0xFFFF)] & ~over)
+        wanted = key[may]
+        place = np.minimum(np.searchsorted(key_of[order], wanted), len(pairs) - 1)
+        hit = key_of[order][place] == wanted
+        may, place = may[hit], place[hit]
+        made = at[may]
+        gone = after[made]
+        symbols[made] = name[order][place]
+        last[made] = last[gone]
+        alive[gone] = False
+        after[made] = after[gone]
+        before[after[made]] = made
+        # Places to look at next: of pairs often enough that were left out, and around new symbols.
+        rest = np.ones(len(at), bool)
+        rest[may] = False
+        at = at[rest]
+        near = before[made]
+        look = np.concatenate([at, made, near[near >= 0]])
+        look = look[alive[look] & ~last[look]]
+        if len(look) > n >> 4:
+            marked = np.zeros(n, bool)
+            marked[look] = True
+            at = np.flatnonzero(marked).astype(wide)
+        else:
+            at = np.unique(look)
+    last, symbols = last[alive], symbols[alive]
     ends = np.flatnonzero(last) + 1
     sizes = np.zeros(len(counts), np.uint32)
     sizes[counts > 0] = np.diff(np.append(0, ends))

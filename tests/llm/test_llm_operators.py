@@ -414,6 +414,28 @@ def test_grammar_round_trip_and_random_access():
     assert [expand.token(g.symbols, p) for p in (0, 999, 1000, 3199)] == [ids[p] for p in (0, 999, 1000, 3199)]
 
 
+def test_pairs_are_replaced_until_none_is_frequent():
+    rng = np.random.default_rng(4)
+    # Copies of one document, runs of one id of odd and even length, noise over few ids.
+    runs = [np.append(np.repeat(9, k), 10 + k) for k in range(1, 40)] * 3
+    docs = [np.append(rng.integers(3, 40_000, 350), 2)] * 600 + runs + [rng.integers(3, 30, 3000), np.repeat(7, 5001)]
+    ids, counts = np.concatenate(docs), np.array([len(d) for d in docs])
+    g = compress(ids.astype(np.uint16), counts)
+    expand = Expander(g.rules, g.lengths)
+    assert expand(g.symbols).tolist() == ids.tolist()
+    assert g.lengths.max() >= 351 and (g.rules[:, 0] == g.rules[:, 1]).any() and (g.counts[:600] == 1).all()
+    left = Counter()
+    at = 0
+    for size in g.counts.tolist():
+        own = g.symbols[at : at + size].tolist()
+        at += size
+        # Pairs of equal symbols are counted from the left, without overlap.
+        for i, (a, b) in enumerate(zip(own, own[1:])):
+            run = next((k for k in range(i + 1) if own[i - k] != a), i + 1) if a == b else 1
+            left[a, b] += run % 2
+    assert max(left.values(), default=0) < 12
+
+
 # --- 8: quality ------------------------------------------------------------------------------
 
 
