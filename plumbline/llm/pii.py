@@ -212,7 +212,7 @@ def added_spans(field: Field, gap: Gap, text: str, base: list[tuple[int, int, in
     """Spans of the tokens that the field labels and no base span touches."""
     spans, places = tokens(text)
     n = len(spans)
-    if n < 2:
+    if not n:
         return []
     known = token_labels(spans, base)
     if (known > 0).all():

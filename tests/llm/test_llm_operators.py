@@ -132,6 +132,17 @@ def test_a_repeated_number_gets_the_label_of_its_full_form(spark):
     assert (3, text.rindex("555"), text.rindex("555") + 8) in found
 
 
+def test_a_lone_token_meets_the_field():
+    text = "only 12345 here"
+    weights = np.zeros((72, 5))
+    # Each token has the constant feature: the weight makes kind 0 likely for any.
+    weights[23, 1] = 9
+    field = pii.Field(weights, np.ones((5, 5)), np.ones((5, 5)))
+    assert pii.added_spans(field, pii.Gap(field.step, pii._PLAIN), text, []) == [(0, 5, 10)]
+    assert pii.added_spans(field, pii.Gap(field.step, pii._PLAIN), "none", []) == []
+    assert pii.added_spans(field, pii.Gap(field.step, pii._PLAIN), text, [(0, 5, 10)]) == []
+
+
 # --- 2: mixing -----------------------------------------------------------------------------
 
 
