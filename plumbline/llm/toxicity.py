@@ -42,16 +42,19 @@ class Tagger:
     document: np.ndarray  # bias, weights of the two document features
 
 
-def _marginals(tagger: Tagger, gap: Gap, at: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """P(offending) of the words at ``at``; the words between them are summed out exactly."""
+def _marginals(tagger: Tagger, gap: Gap, at: np.ndarray, classes: np.ndarray, n_words: int) -> np.ndarray:
+    """P(offending) of the words at ``at`` of ``n_words``; all other words are summed out exactly."""
     if not len(at):
         return np.zeros(0)
     unary = np.exp(tagger.unary[classes])
     plain = np.exp(tagger.unary[0])
-    # What comes before the first and after the last one: the long-run vectors of a plain run.
+    # What comes before the first and after the last one goes into their own potentials.
     steps = gap(np.diff(at) - 1)
     if at[0]:
         unary[0] = unary[0] * (plain @ gap(at[:1] - 1)[0])
+    trail = n_words - 1 - at[-1:]
+    if trail[0]:
+        unary[-1] = unary[-1] * (gap(trail - 1)[0] @ plain)
     return forward_backward(unary, steps)[:, 1]
 
 
@@ -210,8 +213,9 @@ def _tag(tagger: Tagger) -> Callable:
             rows = []
             for text in as_bytes(texts):
                 flat = text.translate(ALNUM)
-                at, classes = _found(tagger.lexicon, flat.split())
-                chance = _marginals(tagger, gap, at, classes)
+                words = flat.split()
+                at, classes = _found(tagger.lexicon, words)
+                chance = _marginals(tagger, gap, at, classes, len(words))
                 x = _document_features(chance)
                 score = 1 / (1 + np.exp(-np.clip(tagger.document @ (1.0, *x), -30, 30)))
                 rows.append(

@@ -374,6 +374,20 @@ def test_summed_out_gaps_are_exact():
     assert np.allclose(whole[[0, 4]], short)
 
 
+def test_words_before_and_after_the_hits_are_summed_out():
+    from plumbline.llm.chains import Gap, forward_backward
+
+    rng = np.random.default_rng(5)
+    unary, trans = rng.normal(size=(3, 2)), rng.normal(size=(2, 2))
+    tagger = toxicity.Tagger({}, unary, trans, np.zeros(3))
+    gap = Gap(np.exp(trans), np.exp(unary[0]))
+    for kind in ([0, 0, 1, 0, 2, 0, 0, 0], [1, 0, 0], [0, 0, 2], [0, 1, 0], [1, 0, 2], [1], [0, 2, 1, 0]):
+        kind = np.array(kind)
+        at = np.flatnonzero(kind)
+        whole = forward_backward(np.exp(unary[kind]), np.array([np.exp(trans)] * (len(kind) - 1)))
+        assert np.allclose(toxicity._marginals(tagger, gap, at, kind[at], len(kind)), whole[at, 1])
+
+
 # --- 7: token files --------------------------------------------------------------------------
 
 
