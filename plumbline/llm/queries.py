@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import chat_format, decontaminate, html_extract, line_dedup, mixing, oracle, pii, quality, simhash, token_files, toxicity
+from plumbline.llm import chat_format, decontaminate, divergence, html_extract, line_dedup, mixing, oracle, pii, quality, simhash, token_files, toxicity
 from plumbline.llm.common import stored, table
 from plumbline.settings import scratch_path
 
@@ -64,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
         op1_pii,
         op2_mixing,
@@ -75,6 +79,7 @@ QUERIES = {f.__name__: f for f in (
         op8_quality_rules,
         op9_line_dedup,
         op10_simhash,
+        op11_divergence,
     )}
 
-ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5}
+ORACLE_SQL: dict[str, str] = {"op5_decontaminate": oracle.OP5, "op11_divergence": oracle.OP11}
