@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import chat_format, decontaminate, divergence, html_extract, hyperminhash, line_dedup, mixing, oracle, pii, quality, simhash, token_files, toxicity
+from plumbline.llm import chat_format, decontaminate, divergence, html_extract, hyperminhash, token_alignment, line_dedup, mixing, oracle, pii, quality, simhash, token_files, toxicity
 from plumbline.llm.common import stored, table
 from plumbline.settings import scratch_path
 
@@ -68,6 +68,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES = {f.__name__: f for f in (
         op9_line_dedup,
         op10_simhash,
         op11_divergence,
+        op12_alignment,
         op13_hyperminhash,
     )}
 
