@@ -27,42 +27,125 @@ def candidate(text: Column) -> Column:
     return F.coalesce(fenced, _between(text, "{", "}"), _between(text, "[", "]"))
 
 
-#: A text beyond this many bytes may be too large for the parser; a failure then says nothing.
-PARSER_BYTES = 16 << 20
-#: Digits in a row that are kept; the parser stops at 1,000, and no check looks at more.
-_DIGITS = 300
+# The JSON token grammar (RFC 8259) and the three constants that
+# Python's json module takes as numbers (NaN, Infinity, -Infinity).
+_STRING = r'"[^"\\\x00-\x1F]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1F]*+)*+"'
+_NUMBER = r"-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
+_CONSTANTS = ("NaN", "Infinity", "-Infinity")
+#: Every token; a character that starts none is a token of one character, which
+#: the recogniser refuses. White space between tokens is skipped.
+_TOKEN = rf"{_STRING}|{_NUMBER}|true|false|null|NaN|-?Infinity|[^\x20\x09\x0A\x0D]"
 
+# What the automaton expects next.
+_VALUE, _KEY_OR_CLOSE, _COLON, _AFTER, _KEY, _ITEM_OR_CLOSE = range(6)
 
-def strict_value(c: Column) -> Column:
-    """The parsed value when the whole string is one JSON value, else null.
 
-    A parser that stops after the first value would accept trailing text. The
-    string is therefore parsed inside an array and inside an object: no text
-    can close both early, and each must hold exactly one member. Long runs of
-    digits are shortened first, since the parser refuses numbers of any kind
-    beyond its own size. ``too_large`` tells what it could not judge.
-    """
-    short = F.regexp_replace(c, F.lit(rf"([0-9]{{{_DIGITS}}})[0-9]++"), F.lit("$1"))
-    c = F.when(F.length(c) > _DIGITS, short).otherwise(c)
-    in_array = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), c, F.lit("\n]"))), "$", "array<variant>"
+def tokens(c: Column) -> Column:
+    """The tokens of a text, white space left out; possessive, so long runs never backtrack."""
+    return F.regexp_extract_all(c, F.lit(_TOKEN), 0)
+
+
+def _kind(t: Column, constants: bool) -> Column:
+    """p: one of {}[]:, as itself; s: a string; v: any other value; x: no token."""
+    one = F.length(t) == 1
+    scalar = t.isin("true", "false", "null") | (F.lit(constants) & t.isin(*_CONSTANTS))
+    return (
+        F.when(one & t.isin("{", "}", "[", "]", ":", ","), t)
+        .when(one & t.rlike("^[0-9]$"), F.lit("v"))
+        .when(one, F.lit("x"))
+        .when(F.substring(t, 1, 1) == '"', F.lit("s"))
+        .when(scalar, F.lit("v"))
+        .when(t.isin(*_CONSTANTS), F.lit("x"))
+        .otherwise(F.lit("v"))
     )
-    in_object = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("\n}"))), "$", "map<string,variant>"
+
+
+def _step(state: Column, kind: Column) -> Column:
+    """One move of the pushdown automaton; the stack is a string of open brackets."""
+    stack, expect = state["stack"], state["expect"]
+    top = F.substring(stack, -1, 1)
+    pop = F.substring(stack, F.lit(1), F.length(stack) - 1)
+    opens_value = expect.isin(_VALUE, _ITEM_OR_CLOSE)
+    move = (
+        F.when(kind.isin("{", "[") & opens_value, F.struct(F.concat(stack, kind).alias("stack"), F.when(kind == "{", _KEY_OR_CLOSE).otherwise(_ITEM_OR_CLOSE).alias("expect")))
+        .when(kind.isin("s", "v") & opens_value, F.struct(stack.alias("stack"), F.lit(_AFTER).alias("expect")))
+        .when((kind == "s") & expect.isin(_KEY_OR_CLOSE, _KEY), F.struct(stack.alias("stack"), F.lit(_COLON).alias("expect")))
+        .when((kind == ":") & (expect == _COLON), F.struct(stack.alias("stack"), F.lit(_VALUE).alias("expect")))
+        .when((kind == ",") & (expect == _AFTER) & (top == "{"), F.struct(stack.alias("stack"), F.lit(_KEY).alias("expect")))
+        .when((kind == ",") & (expect == _AFTER) & (top == "["), F.struct(stack.alias("stack"), F.lit(_VALUE).alias("expect")))
+        .when((kind == "}") & ((expect == _KEY_OR_CLOSE) | ((expect == _AFTER) & (top == "{"))), F.struct(pop.alias("stack"), F.lit(_AFTER).alias("expect")))
+        .when((kind == "]") & ((expect == _ITEM_OR_CLOSE) | ((expect == _AFTER) & (top == "["))), F.struct(pop.alias("stack"), F.lit(_AFTER).alias("expect")))
     )
-    return F.when(
-        (F.cardinality(in_array) == 1) & (F.cardinality(in_object) == 1), in_object["v"]
+    # After the one top-level value nothing may follow: _AFTER with an empty stack moves nowhere.
+    done = (expect == _AFTER) & (F.length(stack) == 0)
+    moved = F.when(~state["ok"] | done, None).otherwise(move)
+    return F.struct(
+        F.coalesce(moved["stack"], stack).alias("stack"),
+        F.coalesce(moved["expect"], expect).alias("expect"),
+        (state["ok"] & moved.isNotNull()).alias("ok"),
     )
 
 
-def too_large(c: Column, value: Column) -> Column:
-    """Not parsed, but perhaps only for its size."""
-    return F.isnull(value) & (F.octet_length(c) > PARSER_BYTES)
+def recognised(c: Column, constants: bool = True, ts: Column | None = None) -> Column:
+    """Whether the whole text is exactly one JSON value, as Python's json.loads reads it.
+
+    Nothing is parsed into a value and nothing is shortened: strings, keys and
+    numbers of any length, and texts of any size, are judged alike. With
+    ``constants``, NaN, Infinity and -Infinity are numbers, as in Python. The
+    nesting depth has no limit here (CPython stops near 1,000 levels). ``ts``
+    may hold ``tokens(c)`` already, bound in an earlier projection.
+    """
+    kinds = F.transform(tokens(c) if ts is None else ts, lambda t: _kind(t, constants))
+    start = F.struct(F.lit("").alias("stack"), F.lit(_VALUE).alias("expect"), F.lit(True).alias("ok"))
+    whole = lambda end: end["ok"] & (end["expect"] == _AFTER) & (F.length(end["stack"]) == 0)
+    return F.when(F.isnotnull(c), F.aggregate(kinds, start, _step, whole))
+
+
+#: The reader of members takes strings of any length.
+_READ = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "allowNonNumericNumbers": "true"}
+
+
+def _marked(ts: Column, constants: bool) -> Column:
+    """The text with every string value prefixed by S and every other scalar made "N".
+
+    Keys (strings followed by a colon) stay as they are. A member's value read
+    from this copy tells whether it was a string (S and the string), a scalar
+    ("N") or a container (its own text), whatever the lengths involved.
+    """
+    def mark(t: Column, after: Column) -> Column:
+        kind = _kind(t, constants)
+        key = F.coalesce(after == ":", F.lit(False))
+        return (
+            F.when((kind == "s") & ~key, F.concat(F.lit('"S'), F.substring(t, F.lit(2), F.length(t))))
+            .when(kind == "v", F.lit('"N"'))
+            .otherwise(t)
+        )
+
+    following = F.slice(ts, 2, F.greatest(F.size(ts), F.lit(1)))
+    return F.array_join(F.zip_with(ts, following, mark), "")
+
+
+def strict_value(c: Column, constants: bool = True, ts: Column | None = None) -> Column:
+    """``struct(members)`` when the whole text is one JSON value (``recognised``), else null.
+
+    ``members`` maps each key of a top-level object to its value as read from
+    ``_marked`` (the last of repeated keys wins, as in a Python dict); it is null
+    for other values. Nothing is shortened: keys and strings of any length are
+    compared whole. An object nested deeper than the reader's 1,000 levels has
+    no value (CPython refuses such depth too). ``ts`` may hold ``tokens(c)``.
+    """
+    ts = tokens(c) if ts is None else ts
+    read = F.from_json(_marked(ts, constants), "map<string,string>", _READ)
+    # The reader keeps repeated keys; rebuilt, the session's LAST_WIN policy keeps the last.
+    read = F.map_from_entries(F.map_entries(read))
+    is_object = F.coalesce(F.element_at(ts, 1) == "{", F.lit(False))
+    ok = recognised(c, constants, ts) & (~is_object | read.isNotNull())
+    return F.when(ok, F.struct(F.when(is_object, read).alias("members")))
 
 
 def members(value: Column) -> Column:
-    """Members of a JSON object; null for any other value."""
-    return F.try_variant_get(value, "$", "map<string,variant>")
+    """Members of a JSON object (key to marked value); null for any other value."""
+    return value["members"]
 
 
 def type_name(c: Column) -> Column:
@@ -86,13 +169,18 @@ def absent_keys(required: Column, obj: Column) -> Column:
     )
 
 
+def member_text(member: Column) -> Column:
+    """The string of a member read from the marked copy; null for other values."""
+    return F.when(F.startswith(member, F.lit("S")), F.substring(member, F.lit(2), F.length(member)))
+
+
 def enum_breaches(enums: Column, obj: Column) -> Column:
     """Allowed lists of those string members whose value is not in the list."""
 
     def breach(key: Column, allowed: Column) -> Column:
         member = F.try_element_at(obj, key)
-        text = F.try_variant_get(member, "$", "string")
-        is_text = F.schema_of_variant(member) == "STRING"
+        text = member_text(member)
+        is_text = F.isnotnull(text)
         listed = F.coalesce(F.array_contains(allowed, text), F.lit(False))
         return F.coalesce(is_text & ~listed, F.lit(False))
 

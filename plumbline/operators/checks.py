@@ -143,7 +143,7 @@ def _measure(check: Column) -> Column:
     breaches = F.transform_values(
         jsontext.enum_breaches(schema["enums"], F.col("_members")),
         lambda k, allowed: F.struct(
-            F.try_variant_get(F.try_element_at(F.col("_members"), k), "$", "string").alias("found"),
+            jsontext.member_text(F.try_element_at(F.col("_members"), k)).alias("found"),
             allowed.alias("allowed"),
         ),
     )
@@ -164,7 +164,6 @@ def _json_reason(m: Column) -> Column:
     """Name of the first JSON rule that is broken; null when all hold."""
     return (
         F.when(F.coalesce(F.col("_candidate"), F.lit("")) == "", "no_json_found")
-        .when(jsontext.too_large(F.col("_candidate"), F.col("_value")), "json_too_large")
         .when(F.isnull("_value"), "json_parse_error")
         .when((m["schema"]["type"] == "object") & (F.col("_type") != "dict"), "wrong_type")
         .when(F.size(m["missing"]) > 0, "missing_keys")
@@ -174,8 +173,7 @@ def _json_reason(m: Column) -> Column:
 
 def _judge(m: Column) -> Column:
     kind = m["type"]
-    # A declared check that lacks its number, or a text beyond the parser, says
-    # nothing about the answer.
+    # A declared check that lacks its number says nothing about the answer.
     no_number = kind.isin(BULLETS, QUESTIONS) & F.isnull(m["n"])
     too_few = F.size(m["head"]) < m["n"]
     broken = _json_reason(m)
@@ -195,7 +193,7 @@ def _judge(m: Column) -> Column:
     return F.struct(
         kind.alias("type"),
         F.when(
-            ~no_number & ~((kind == JSON) & F.coalesce(broken == "json_too_large", F.lit(False))),
+            ~no_number,
             F.coalesce(passed, F.lit(False)),
         ).alias("pass"),
         reason.alias("reason"),
@@ -229,7 +227,8 @@ def _steps() -> tuple[dict[str, Column], ...]:
             "_bullets": F.when(_of_kind(BULLETS), bullets.bullet_count(text)),
             "_candidate": F.when(_of_kind(JSON), jsontext.candidate(text)),
         },
-        {"_value": jsontext.strict_value(F.col("_candidate"))},
+        {"_tokens": F.when(_of_kind(JSON), jsontext.tokens(F.col("_candidate")))},
+        {"_value": jsontext.strict_value(F.col("_candidate"), ts=F.col("_tokens"))},
         {
             "_members": jsontext.members(F.col("_value")),
             "_type": jsontext.type_name(F.col("_candidate")),
@@ -360,7 +359,8 @@ def extract_json_candidate(df: DataFrame, col: str = "cleaned") -> DataFrame:
 def json_parses(df: DataFrame) -> DataFrame:
     """Add the parsed ``value`` of ``candidate`` and whether it parsed."""
     settings.ensure(df.sparkSession)
-    return df.withColumn("value", jsontext.strict_value(F.col("candidate"))).withColumn(
+    df = df.withColumn("_tokens", jsontext.tokens(F.col("candidate")))
+    return df.withColumn("value", jsontext.strict_value(F.col("candidate"), ts=F.col("_tokens"))).drop("_tokens").withColumn(
         "ok", F.isnotnull("value")
     )
 

@@ -155,8 +155,9 @@ def test_strict_json(spark):
 
     got = column(spark, whole, lambda t: F.isnotnull(jsontext.strict_value(t)))
     assert got == [parses(s) for s in whole]
-    # Known gap: Python's own extension
-    assert column(spark, ["NaN"], lambda t: F.isnotnull(jsontext.strict_value(t))) == [False]
+    # Python's own extension: NaN, Infinity and -Infinity are numbers.
+    constants = ["NaN", "-Infinity", '{"a": Infinity}', "[NaN, 1]", "nan", "+Infinity", "-NaN", "Infinity1"]
+    assert column(spark, constants, lambda t: F.isnotnull(jsontext.strict_value(t))) == [parses(s) for s in constants]
 
 
 def test_type_names(spark):
