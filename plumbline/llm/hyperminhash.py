@@ -38,6 +38,10 @@ BANDS = REGISTERS // ROWS
 #: Jaccard of 0.8 the estimate of 128 registers has a deviation of 0.035, so
 #: this lies seven deviations below.
 ESTIMATE_FLOOR = 0.55
+#: Texts wanted for the exact check are picked by a broadcast of their keys up to
+#: this many keys (about 24 bytes each); beyond it, by a shuffled semi-join.
+BROADCAST_KEYS = 2_000_000
+_NO_ID = -(2**63)
 
 _SEEDS = np.random.default_rng(20240613).integers(0, 2**63, size=(2, REGISTERS), dtype=np.uint64)
 _MULTIPLY = _SEEDS[0] * np.uint64(2) + np.uint64(1)  # odd: each register is a bijection of the hash
@@ -113,15 +117,22 @@ def linked(inter: int, n: int, m: int) -> bool:
     return DENOMINATOR * inter >= NUMERATOR * (n + m - inter)
 
 
+def _sets(batches):
+    """``k_doc, t1, t2, shingles``: the set of each text as packed uint64."""
+    for batch in batches:
+        sets = [shingle_set(t).tobytes() for t in as_bytes(batch.column(batch.schema.get_field_index("text")))]
+        keep = [batch.column(batch.schema.get_field_index(c)) for c in ("k_doc", "t1", "t2")]
+        yield pa.RecordBatch.from_arrays([*keep, pa.array(sets, pa.binary())], names=["k_doc", "t1", "t2", "shingles"])
+
+
 def _sketches(batches):
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text"))
-        sizes, first, second, sets, bands = [], [], [], [], [[] for _ in range(BANDS)]
+        sizes, first, second, bands = [], [], [], [[] for _ in range(BANDS)]
         for text in as_bytes(texts):
             s = shingle_set(text)
             sizes.append(len(s))
             raw = s.tobytes()
-            sets.append(raw)
             first.append(xxhash.xxh64_intdigest(raw, 1) - (1 << 63) if len(s) else 0)
             second.append(xxhash.xxh64_intdigest(raw, 2) - (1 << 63) if len(s) else 0)
             packed = registers(s).view(np.int64) if len(s) else np.zeros(BANDS, np.int64)
@@ -129,28 +140,35 @@ def _sketches(batches):
                 bands[j].append(int(packed[j]))
         arrays = [
             batch.column(batch.schema.get_field_index("doc_id")),
-            batch.column(batch.schema.get_field_index("_row")),
+            batch.column(batch.schema.get_field_index("t1")),
+            batch.column(batch.schema.get_field_index("t2")),
             pa.array(sizes, pa.int64()),
             pa.array(first, pa.int64()),
             pa.array(second, pa.int64()),
-            pa.array(sets, pa.binary()),
             *(pa.array(b, pa.int64()) for b in bands),
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=_SKETCH)
 
 
 _BAND_NAMES = [f"b{j}" for j in range(BANDS)]
-_SKETCH = ["doc_id", "_row", "n", "h1", "h2", "shingles", *_BAND_NAMES]
+_SKETCH = ["doc_id", "t1", "t2", "n", "h1", "h2", *_BAND_NAMES]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with ``t1, t2``: two 64-bit hashes of the text, which with the id find a row's text again."""
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"),
+        F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("t2"), text).alias("t2"),
+    )
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, _row, n, h1, h2, shingles, b0..`` for every row: set size, set digest, set, band keys."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    schema = "doc_id bigint, _row bigint, n bigint, h1 bigint, h2 bigint, shingles binary, " + ", ".join(
+    """``doc_id, t1, t2, n, h1, h2, b0..`` for every row: text keys, set size, set digest, band keys."""
+    schema = "doc_id bigint, t1 bigint, t2 bigint, n bigint, h1 bigint, h2 bigint, " + ", ".join(
         f"{b} bigint" for b in _BAND_NAMES
     )
-    return rows.mapInArrow(_sketches, schema)
+    return _keyed(docs).mapInArrow(_sketches, schema)
 
 
 def _near(cell):
@@ -194,8 +212,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     sketches = stored(sketch(docs), "sketches")
     first = [F.first(b).alias(b) for b in _BAND_NAMES]
+    k_doc = F.coalesce("doc_id", F.lit(_NO_ID))
     distinct = sketches.where("n > 0").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("least"), F.min("_row").alias("rep"), F.first("n").alias("n"), *first
+        F.min("doc_id").alias("least"), F.min(F.struct(k_doc.alias("k_doc"), "t1", "t2")).alias("rep"),
+        F.first("n").alias("n"), *first,
     )
     distinct = stored(distinct.withColumn("sid", F.monotonically_increasing_id()), "distinct_sets")
 
@@ -203,12 +223,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = distinct.select("sid", "n", *_BAND_NAMES, F.explode(band_keys).alias("k")).select(
         "k.band", "k.key", "sid", "n", *_BAND_NAMES
     )
-    sets = sketches.select(F.col("_row").alias("rep"), "shingles")
+    keys = ["k_doc", "t1", "t2"]
 
     def fetch(placed: DataFrame) -> DataFrame:
-        payload = distinct.select(F.col("sid").alias("_member"), "rep", "n", *_BAND_NAMES)
+        """The members of cells with their sets, rebuilt from the texts of those members only."""
+        payload = distinct.select(F.col("sid").alias("_member"), "rep.*", "n", *_BAND_NAMES)
         reps = lookup_join(placed, payload, ["_member"])
-        return reps.join(sets, "rep").drop("rep")
+        needed = stored(reps.select(*keys).distinct(), "wanted_texts")
+        pick = F.broadcast(needed) if needed.count() <= BROADCAST_KEYS else needed
+        texts = (
+            _keyed(docs).withColumn("k_doc", F.coalesce("doc_id", F.lit(_NO_ID)))
+            .join(pick, keys, "left_semi")
+            .dropDuplicates(keys)
+        )
+        sets = texts.select(*keys, "text").mapInArrow(_sets, "k_doc bigint, t1 bigint, t2 bigint, shingles binary")
+        return reps.join(sets, keys).drop(*keys)
 
     links = bucket_links(members, ["band", "key"], "sid", ["n", *_BAND_NAMES, "shingles"], _near, fetch=fetch)
     found = components(links)

@@ -108,3 +108,10 @@ def test_banding_recall_at_the_threshold():
         ok = H.estimate((ra == rb).sum(), len(a), len(b)) >= H.ESTIMATE_FLOOR
         missed += not (same_band and ok)
     assert missed == 0
+
+
+def test_the_side_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(H, "BROADCAST_KEYS", 0)
+    rows = corpus(9)
+    df = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5, True) for i, t in rows], DOCS)
+    assert sorted((tuple(r) for r in H.near_duplicates(df).collect()), key=repr) == brute(rows)
