@@ -25,7 +25,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import stored
+from plumbline.llm.common import slices, stored
 from plumbline.operators.scale import lookup_join
 
 #: Vocabulary files of the two tokenizers (a parameter; never copied here).
@@ -128,59 +128,81 @@ def groups_text(a_ids, b_ids, group_a, group_b) -> str:
 
 
 _OUT = ["_row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
+#: Texts are encoded in chunks of about this many characters, so that the
+#: tokenizers' per-token objects of one chunk only are alive at a time.
+CHUNK_CHARS = 1 << 20
 _PAIR = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("m", pa.int64())])
 
 
 def _aligned(a_path: str, b_path: str):
     def run(batches):
-        a, b, a_bytes, b_bytes, a_size, b_size = tokenizers(a_path, b_path)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            present = [i for i, t in enumerate(texts) if t]
-            a_enc = a.encode_batch([" " + texts[i] for i in present], add_special_tokens=False)
-            b_enc = b.encode([texts[i] for i in present], num_threads=1)
-            sizes = np.zeros((len(texts), 4), np.int64)
-            digests = [""] * len(texts)
-            offsets, pa_a, pa_b, pa_m = [0] * (len(texts) + 1), [], [], []
-            found = {}
-            for k, i in enumerate(present):
-                target = (" " + texts[i]).encode()
-                ai = np.array(a_enc[k].ids, np.int64)
-                bi = np.array(b_enc[k], np.int64)
-                if (
-                    b"".join(a_bytes[j] for j in ai.tolist()) != target
-                    or b"".join(b_bytes[j] for j in bi.tolist()) != target
-                ):
-                    continue
-                group_a, group_b, pa_ids, pb_ids, times = align(ai, bi, a_size[ai], b_size[bi])
-                counts = np.bincount(group_a), np.bincount(group_b)
-                sizes[i] = (len(ai), len(bi), len(counts[0]), int((counts[0] * counts[1]).sum()))
-                text = groups_text(ai, bi, group_a, group_b)
-                digests[i] = hashlib.sha256(text.encode()).hexdigest()
-                found[i] = (pa_ids, pb_ids, times)
-            for i in range(len(texts)):
-                got = found.get(i)
-                offsets[i + 1] = offsets[i] + (len(got[2]) if got else 0)
-                if got:
-                    pa_a.append(got[0]), pa_b.append(got[1]), pa_m.append(got[2])
-            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (pa_a, pa_b, pa_m)]
-            pairs = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()),
-                pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in flat], fields=list(_PAIR)),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(batch.schema.get_field_index("_row")),
-                    *(pa.array(sizes[:, c], pa.int64()) for c in range(4)),
-                    pa.array(digests, pa.string()),
-                    pairs,
-                ],
-                names=_OUT,
-            )
+        tables = tokenizers(a_path, b_path)
+        for whole in batches:
+            for batch in slices(whole, whole.schema.get_field_index("text")):
+                yield _aligned_batch(batch, *tables)
 
     return run
 
 
+def _chunks(texts: list[str | None]):
+    """Indices of present texts, in runs of about ``CHUNK_CHARS`` characters."""
+    run, size = [], 0
+    for i, t in enumerate(texts):
+        if t:
+            run.append(i)
+            size += len(t)
+            if size >= CHUNK_CHARS:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
+def _aligned_batch(batch, a, b, a_bytes, b_bytes, a_size, b_size) -> pa.RecordBatch:
+    texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+    sizes = np.zeros((len(texts), 4), np.int64)
+    digests = [""] * len(texts)
+    found = {}
+    for present in _chunks(texts):
+        a_enc = [e.ids for e in a.encode_batch([" " + texts[i] for i in present], add_special_tokens=False)]
+        b_enc = b.encode([texts[i] for i in present], num_threads=1)
+        for k, i in enumerate(present):
+            target = (" " + texts[i]).encode()
+            ai = np.array(a_enc[k], np.int64)
+            bi = np.array(b_enc[k], np.int64)
+            if (
+                b"".join(a_bytes[j] for j in ai.tolist()) != target
+                or b"".join(b_bytes[j] for j in bi.tolist()) != target
+            ):
+                continue
+            group_a, group_b, pa_ids, pb_ids, times = align(ai, bi, a_size[ai], b_size[bi])
+            counts = np.bincount(group_a), np.bincount(group_b)
+            sizes[i] = (len(ai), len(bi), len(counts[0]), int((counts[0] * counts[1]).sum()))
+            digests[i] = hashlib.sha256(groups_text(ai, bi, group_a, group_b).encode()).hexdigest()
+            found[i] = (pa_ids, pb_ids, times)
+        del a_enc, b_enc
+    offsets, pa_a, pa_b, pa_m = [0] * (len(texts) + 1), [], [], []
+    for i in range(len(texts)):
+        got = found.get(i)
+        offsets[i + 1] = offsets[i] + (len(got[2]) if got else 0)
+        if got:
+            pa_a.append(got[0]), pa_b.append(got[1]), pa_m.append(got[2])
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (pa_a, pa_b, pa_m)]
+    pairs = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()),
+        pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in flat], fields=list(_PAIR)),
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column(batch.schema.get_field_index("_row")),
+            *(pa.array(sizes[:, c], pa.int64()) for c in range(4)),
+            pa.array(digests, pa.string()),
+            pairs,
+        ],
+        names=_OUT,
+    )
+
+
 def alignment(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` for every row of ``docs``.
 
