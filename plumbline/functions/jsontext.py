@@ -60,30 +60,34 @@ def _kind(t: Column, constants: bool) -> Column:
     )
 
 
-def _step(state: Column, kind: Column) -> Column:
-    """One move of the pushdown automaton; the stack is a string of open brackets."""
-    stack, expect = state["stack"], state["expect"]
+def _transitions(stack: Column, expect: Column, kind: Column) -> list[tuple[Column, Column, Column]]:
+    """The moves of the pushdown automaton: (when, next stack, next expectation).
+
+    The stack is a string of open brackets. After the one top-level value
+    (``_AFTER`` with an empty stack) no move is left.
+    """
     top = F.substring(stack, -1, 1)
     pop = F.substring(stack, F.lit(1), F.length(stack) - 1)
     opens_value = expect.isin(_VALUE, _ITEM_OR_CLOSE)
-    move = (
-        F.when(kind.isin("{", "[") & opens_value, F.struct(F.concat(stack, kind).alias("stack"), F.when(kind == "{", _KEY_OR_CLOSE).otherwise(_ITEM_OR_CLOSE).alias("expect")))
-        .when(kind.isin("s", "v") & opens_value, F.struct(stack.alias("stack"), F.lit(_AFTER).alias("expect")))
-        .when((kind == "s") & expect.isin(_KEY_OR_CLOSE, _KEY), F.struct(stack.alias("stack"), F.lit(_COLON).alias("expect")))
-        .when((kind == ":") & (expect == _COLON), F.struct(stack.alias("stack"), F.lit(_VALUE).alias("expect")))
-        .when((kind == ",") & (expect == _AFTER) & (top == "{"), F.struct(stack.alias("stack"), F.lit(_KEY).alias("expect")))
-        .when((kind == ",") & (expect == _AFTER) & (top == "["), F.struct(stack.alias("stack"), F.lit(_VALUE).alias("expect")))
-        .when((kind == "}") & ((expect == _KEY_OR_CLOSE) | ((expect == _AFTER) & (top == "{"))), F.struct(pop.alias("stack"), F.lit(_AFTER).alias("expect")))
-        .when((kind == "]") & ((expect == _ITEM_OR_CLOSE) | ((expect == _AFTER) & (top == "["))), F.struct(pop.alias("stack"), F.lit(_AFTER).alias("expect")))
-    )
-    # After the one top-level value nothing may follow: _AFTER with an empty stack moves nowhere.
-    done = (expect == _AFTER) & (F.length(stack) == 0)
-    moved = F.when(~state["ok"] | done, None).otherwise(move)
-    return F.struct(
-        F.coalesce(moved["stack"], stack).alias("stack"),
-        F.coalesce(moved["expect"], expect).alias("expect"),
-        (state["ok"] & moved.isNotNull()).alias("ok"),
-    )
+    return [
+        (kind.isin("{", "[") & opens_value, F.concat(stack, kind), F.when(kind == "{", _KEY_OR_CLOSE).otherwise(_ITEM_OR_CLOSE)),
+        (kind.isin("s", "v") & opens_value, stack, F.lit(_AFTER)),
+        ((kind == "s") & expect.isin(_KEY_OR_CLOSE, _KEY), stack, F.lit(_COLON)),
+        ((kind == ":") & (expect == _COLON), stack, F.lit(_VALUE)),
+        ((kind == ",") & (expect == _AFTER) & (top == "{"), stack, F.lit(_KEY)),
+        ((kind == ",") & (expect == _AFTER) & (top == "["), stack, F.lit(_VALUE)),
+        ((kind == "}") & ((expect == _KEY_OR_CLOSE) | ((expect == _AFTER) & (top == "{"))), pop, F.lit(_AFTER)),
+        ((kind == "]") & ((expect == _ITEM_OR_CLOSE) | ((expect == _AFTER) & (top == "["))), pop, F.lit(_AFTER)),
+    ]
+
+
+def _step(state: Column, kind: Column) -> Column:
+    """One move of the automaton as one CASE; a refused token leaves ``ok`` false for good."""
+    stack, expect = state["stack"], state["expect"]
+    out = F.when(~state["ok"], state)
+    for when, to_stack, to_expect in _transitions(stack, expect, kind):
+        out = out.when(when, F.struct(to_stack.alias("stack"), to_expect.alias("expect"), F.lit(True).alias("ok")))
+    return out.otherwise(F.struct(stack.alias("stack"), expect.alias("expect"), F.lit(False).alias("ok")))
 
 
 def recognised(c: Column, constants: bool = True, ts: Column | None = None) -> Column:
@@ -185,3 +189,120 @@ def enum_breaches(enums: Column, obj: Column) -> Column:
         return F.coalesce(is_text & ~listed, F.lit(False))
 
     return F.map_filter(enums, breach)
+
+
+# The messages of Python's JSON decoder.
+_MESSAGES = {
+    _VALUE: "Expecting value",
+    _ITEM_OR_CLOSE: "Expecting value",
+    _KEY_OR_CLOSE: "Expecting property name enclosed in double quotes",
+    _KEY: "Expecting property name enclosed in double quotes",
+    _COLON: "Expecting ':' delimiter",
+    _AFTER: "Expecting ',' delimiter",
+}
+_EXTRA = "Extra data"
+_TRAILING = {"}": "Illegal trailing comma before end of object", "]": "Illegal trailing comma before end of array"}
+_WHITE = "\x20\x09\x0a\x0d"
+#: Every token and every run of white space: their concatenation is the text.
+_PIECE = rf"[\x20\x09\x0A\x0D]++|{_TOKEN}"
+#: The longest start of a string that is still sound.
+_SOUND_STRING = r'\A"[^"\\\x00-\x1F]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1F]*+)*+'
+
+
+def _message(expect: Column, stack: Column) -> Column:
+    done = (expect == _AFTER) & (F.length(stack) == 0)
+    by_state = F.create_map(*[x for k, v in _MESSAGES.items() for x in (F.lit(k), F.lit(v))])
+    return F.when(done, F.lit(_EXTRA)).otherwise(F.element_at(by_state, expect))
+
+
+def first_error(c: Column, constants: bool = True) -> Column:
+    """``struct(message, position)`` of the first fault of a JSON text, as Python's decoder
+    reports it (0-based character position); null when the text is one JSON value.
+
+    The automaton of ``recognised`` runs over tokens and runs of white space, so
+    it knows where each token starts. A refused token names the decoder's state
+    at that place; a text that ends early is at its end. A string refused where
+    one may stand is scanned for the decoder's own fault inside it: an
+    unterminated string (its quote), a control character, or a bad escape.
+    """
+    pieces = F.regexp_extract_all(c, F.lit(_PIECE), 0)
+    start = F.struct(
+        F.lit("").alias("stack"), F.lit(_VALUE).alias("expect"), F.lit(True).alias("ok"),
+        F.lit(0).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("bad"),
+        F.lit(None).cast("string").alias("message"), F.lit(0).cast("bigint").alias("comma"),
+    )
+
+    def step(state: Column, t: Column) -> Column:
+        stack, expect, pos, comma = state["stack"], state["expect"], state["pos"], state["comma"]
+        kind = _kind(t, constants)
+        ahead = pos + F.length(t)
+
+        def moved(to_stack: Column, to_expect: Column) -> Column:
+            return F.struct(
+                to_stack.alias("stack"), to_expect.alias("expect"), F.lit(True).alias("ok"), ahead.alias("pos"),
+                state["bad"].alias("bad"), state["message"].alias("message"),
+                F.when(t == ",", pos).otherwise(comma).alias("comma"),
+            )
+
+        out = F.when(~state["ok"], state).when(F.substring(t, 1, 1).isin(*_WHITE), moved(stack, expect))
+        for when, to_stack, to_expect in _transitions(stack, expect, kind):
+            out = out.when(when, moved(to_stack, to_expect))
+        # A closer right after a comma: the decoder names the comma (Python 3.13).
+        trailing = ((t == "}") & (expect == _KEY)) | ((t == "]") & (expect == _VALUE) & (F.substring(stack, -1, 1) == "["))
+        message = F.when(trailing & (t == "}"), F.lit(_TRAILING["}"])).when(trailing, F.lit(_TRAILING["]"])).otherwise(_message(expect, stack))
+        # A refused token does not advance pos, so pos is where it starts.
+        return out.otherwise(F.struct(
+            stack.alias("stack"), expect.alias("expect"), F.lit(False).alias("ok"), pos.alias("pos"),
+            t.alias("bad"), message.alias("message"), comma.alias("comma"),
+        ))
+
+    def finish(s: Column) -> Column:
+        complete = (s["expect"] == _AFTER) & (F.length(s["stack"]) == 0)
+        at = F.when(s["message"].isin(*_TRAILING.values()), s["comma"]).otherwise(s["pos"])
+        return F.when(
+            ~s["ok"], F.struct(s["message"].alias("message"), at.alias("position"), s["bad"].alias("bad"))
+        ).when(
+            ~complete, F.struct(_message(s["expect"], s["stack"]).alias("message"), s["pos"].alias("position"), F.lit(None).cast("string").alias("bad"))
+        )
+
+    fault = F.aggregate(pieces, start, step, finish)
+    return F.when(F.isnotnull(c), _inside_string(c, fault))
+
+
+def _inside_string(c: Column, fault: Column) -> Column:
+    at = fault["position"]
+    rest = F.substring(c, (at + 1).cast("int"), F.length(c))
+    sound = F.length(F.regexp_extract(rest, _SOUND_STRING, 0))
+    after = F.substring(rest, sound + 1, 1)
+    string_here = (fault["bad"] == '"') & fault["message"].isin(_MESSAGES[_VALUE], _MESSAGES[_KEY])
+    escape = F.substring(rest, sound + 2, 1)
+    # The decoder wants a character after a \uXXXX escape: one that ends the text is refused at its u.
+    last_escape = F.substring(rest, 1, sound).rlike(r"(?<!\\)(?:\\\\)*\\u[0-9a-fA-F]{4}\z")
+    message = (
+        F.when((after == "") & last_escape, F.lit("Invalid \\uXXXX escape"))
+        .when(after == "", F.lit("Unterminated string starting at"))
+        .when(after != "\\", F.lit("Invalid control character at"))
+        .when(escape == "", F.lit("Unterminated string starting at"))
+        .when(escape == "u", F.lit("Invalid \\uXXXX escape"))
+        .otherwise(F.lit("Invalid \\escape"))
+    )
+    position = (
+        F.when((after == "") & last_escape, at + sound - 5)
+        .when((after == "") | ((after == "\\") & (escape == "")), at)
+        .when(after != "\\", at + sound)
+        .when(escape == "u", at + sound + 1)
+        .otherwise(at + sound)
+    )
+    return F.when(
+        F.isnotnull(fault),
+        F.when(string_here, F.struct(message.alias("message"), position.cast("bigint").alias("position")))
+        .otherwise(F.struct(fault["message"].alias("message"), fault["position"].alias("position"))),
+    )
+
+
+def line_and_column(c: Column, position: Column) -> Column:
+    """``struct(line, column)`` of a 0-based character position, 1-based as Python gives them."""
+    before = F.substring(c, 1, position.cast("int"))
+    line = F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1
+    column = F.length(F.substring_index(before, "\n", -1)) + 1
+    return F.struct(line.cast("bigint").alias("line"), column.cast("bigint").alias("column"))

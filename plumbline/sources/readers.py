@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline import schemas
+from plumbline.functions import jsontext
 from plumbline.operators.shaping import union_splits
 from plumbline.settings import MODELS, VARIANTS
 
@@ -74,8 +75,29 @@ def src_train_eval_json(
     )
 
 
+def json_file_errors(spark: SparkSession, path: str) -> DataFrame:
+    """``file, message, line, column, position`` of every file under ``path`` that is not one JSON value.
+
+    Each file is one row (its whole text, as a JSON document is), judged on
+    the JVM by ``jsontext.first_error``: the message, 1-based line and column and
+    0-based character position are those Python's decoder gives. Sound files
+    give no row.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    fault = files.select("file", "value", jsontext.first_error(F.col("value")).alias("f")).where("f IS NOT NULL")
+    place = jsontext.line_and_column(F.col("value"), F.col("f.position"))
+    return fault.select("file", "f.message", place["line"].alias("line"), place["column"].alias("column"), F.col("f.position").alias("position"))
+
+
 def src_prompt_items(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Prompt set; a malformed file fails the read."""
+    """Prompt set. A malformed JSON document fails the read, naming file, line and column.
+
+    Only the first malformed file (by name) reaches the driver, as one row.
+    """
+    if multiline:
+        bad = json_file_errors(spark, path).orderBy("file").first()
+        if bad is not None:
+            raise ValueError(f"Invalid JSON in {bad.file}: {bad.message} at line {bad.line}, col {bad.column}")
     return _reader(spark, "json", schemas.PROMPT_ITEM, multiline).load(path)
 
 
