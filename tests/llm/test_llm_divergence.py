@@ -86,3 +86,13 @@ def test_audit_on_many_sources_keeps_ten_terms(spark):
 
 def test_audit_of_an_empty_table(spark):
     assert divergence.audit(spark.createDataFrame([], DOCS)).count() == 0
+
+
+
+def test_only_a_to_z_are_lower_cased(spark):
+    # ASCII texts take lower(), others translate(): É and Ω keep their case either way.
+    texts = ["ÉCOLE École", "Word WORD", "ΩMEGA ωmega"]
+    rows = [(i, t, "xx", "s", None, None, None, None) for i, t in enumerate(texts)]
+    counts = divergence.term_counts(spark.createDataFrame(rows, DOCS), least_docs=1).collect()
+    got = {(r["term"], r["count"]) for r in counts}
+    assert got == {("École", 2), ("word", 2), ("Ωmega", 1), ("ωmega", 1)}
