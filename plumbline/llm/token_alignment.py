@@ -223,10 +223,16 @@ def alignment(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Da
         "pairs array<struct<a:bigint,b:bigint,m:bigint>>"
     )
     aligned = stored(rows.select("_row", "text").mapInArrow(_aligned(a_path, b_path), schema), "alignment")
-    links = aligned.select("_row", F.explode("pairs").alias("p")).select("_row", "p.a", "p.b", "p.m")
-    counts = links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"))
+    # An id pair as one long (ids are below 2**31): the link rows that cross the
+    # shuffle are (_row, m, pair) only.
+    links = aligned.select("_row", F.explode("pairs").alias("p")).select(
+        "_row", "p.m", (F.shiftleft(F.col("p.a"), 32) + F.col("p.b")).alias("pair")
+    )
+    counts = links.groupBy("pair").agg(F.count(F.lit(1)).alias("docs")).withColumn("a", F.shiftright("pair", 32))
     best = counts.groupBy("a").agg(F.max("docs").alias("best"))
-    scored = lookup_join(lookup_join(links, counts, ["a", "b"]), best, ["a"])
+    # Each distinct pair gets its A id's best first, so the links meet one table, once.
+    pairs = lookup_join(counts, best, ["a"]).select("pair", "docs", "best")
+    scored = lookup_join(links, pairs, ["pair"])
     sums = scored.groupBy("_row").agg(
         F.sum(F.when(F.col("docs") == F.col("best"), F.col("m")).otherwise(0)).alias("n_best"),
         F.sum(F.col("m") * F.col("docs")).alias("count_sum"),
