@@ -147,10 +147,11 @@ def sink_run_payload(spark, sf):
     prompts = filters.skip_categories(derived.prompts(spark, sf))
     # Judged once: items and summary are both built from the written table.
     judged = settings.scratch_path(spark, "judged")
-    _answers(spark, sf).write.parquet(judged)
+    _answers(spark, sf).write.parquet(judged, compression="zstd")
     answers = spark.read.parquet(judged)
     writers.sink_run_payload(
-        prompts, answers, summary.eval_summary(answers), path, {"batch_size": 8, "max_new_tokens": 256}
+        prompts, answers, summary.eval_summary(answers), path,
+        {"batch_size": 8, "max_new_tokens": 256}, compression="gzip",
     )
     rows = readers.src_generation_artifact(spark, f"{path}/items", multiline=False)
     return rows.groupBy("id", "category").agg(

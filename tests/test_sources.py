@@ -137,3 +137,42 @@ def test_evaluation_triplets(spark):
 def test_undeclared_checks_column(spark):
     df = spark.createDataFrame([("p", "x", None)], f"id string, prompt string, checks {schemas.CHECKS}")
     assert checks.declared_checks(df).select(F.size("checks")).first()[0] == 0
+
+
+def test_items_shuffle_no_text_twice_and_keep_every_cleaned_text(spark):
+    texts = {
+        ("a", "base", "det"): ("Assistant: é\U0001f310 answer ", "é\U0001f310 answer"),
+        ("a", "base", "samp"): ("x\r\ny", "x\ny"),  # not a part of its raw text
+        ("a", "sft", "det"): (" \n", ""),
+        ("a", "sft", "samp"): ("", ""),
+        ("b", "dpo", "samp"): ("EM2. same", "same"),
+    }
+    evaluated = spark.createDataFrame(
+        [(*key, raw, cleaned, True, []) for key, (raw, cleaned) in texts.items()],
+        "id string, model string, variant string, raw string, cleaned string, pass_all boolean, results array<struct<type:string>>",
+    )
+    prompts = spark.createDataFrame([(i, None, "x", None, None) for i in "abc"], schemas.PROMPT_ITEM)
+    items = {r.id: r for r in writers.run_items(prompts, evaluated).collect()}
+    assert items["c"].outputs is None and items["c"].outputs_clean is None
+    for i in "ab":
+        for m in settings.MODELS:
+            for v in settings.VARIANTS:
+                assert (items[i].outputs[m][v], items[i].outputs_clean[m][v]) == texts.get((i, m, v), (None, None))
+    # a long text and its cleaned form: the cleaned one does not cross the shuffle
+    long = evaluated.select("id", "model", "variant", F.expr("repeat(raw, 3)").alias("raw"), F.expr("repeat(raw, 3)").alias("cleaned"), "pass_all", "results")
+    plan = writers.run_items(prompts, long)._jdf.queryExecution().optimizedPlan().toString()
+    assert "position" in plan.lower() or "locate" in plan.lower()
+
+
+def test_run_payload_compressed(spark, tmp_path):
+    prompts = spark.createDataFrame([("p", "c", "x" * 5000, None, None)], schemas.PROMPT_ITEM)
+    answers = spark.createDataFrame([("p", m, v, "- é" * 2000) for m in settings.MODELS for v in settings.VARIANTS], schemas.GENERATION)
+    done = format_eval.evaluated_answers(prompts, answers)
+    out = {}
+    for name in (None, "gzip"):
+        path = str(tmp_path / f"run-{name}")
+        writers.sink_run_payload(prompts, done, summary.eval_summary(done), path, {"n": 1}, compression=name)
+        out[name] = sum(p.stat().st_size for p in (tmp_path / f"run-{name}" / "items").glob("part-*"))
+        rows = readers.src_generation_artifact(spark, f"{path}/items", multiline=False).collect()
+        assert len(rows) == 6 and all(r.raw == r.cleaned == "- é" * 2000 for r in rows)
+    assert out["gzip"] * 10 < out[None]
