@@ -122,7 +122,7 @@ def src_prompt_items(spark, sf):
 def src_generation_artifact(spark, sf):
     path = settings.scratch_path(spark, "artifact")
     prompts = filters.skip_categories(derived.prompts(spark, sf))
-    writers.run_items(prompts, _answers(spark, sf)).write.json(path)
+    writers.run_items(prompts, _answers(spark, sf)).write.json(path, compression="gzip")
     rows = readers.src_generation_artifact(spark, path, multiline=False)
     return filters.drop_missing_outputs(rows).select(
         *KEY,

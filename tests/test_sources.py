@@ -176,3 +176,14 @@ def test_run_payload_compressed(spark, tmp_path):
         rows = readers.src_generation_artifact(spark, f"{path}/items", multiline=False).collect()
         assert len(rows) == 6 and all(r.raw == r.cleaned == "- é" * 2000 for r in rows)
     assert out["gzip"] * 10 < out[None]
+
+
+def test_stored_artifact_is_compressed(spark, monkeypatch, tmp_path):
+    from plumbline.plans import catalog, derived
+
+    monkeypatch.setattr(settings, "scratch_path", lambda spark, name: str(tmp_path / name))
+    docs = [(i, f"a text of {i} words", "en", "web", 10) for i in range(12)]
+    spark.createDataFrame(docs, derived.TABLES["documents"]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], derived.TABLES["labels"]).write.parquet(str(tmp_path / "labels.parquet"))
+    assert {r.id for r in catalog.src_generation_artifact(spark, str(tmp_path)).collect()} == {f"p{i}" for i in range(12)}
+    assert list((tmp_path / "artifact").glob("part-*.json.gz"))
