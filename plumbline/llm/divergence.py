@@ -72,9 +72,11 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
         .groupBy("lang", "source", "term")
         .agg(F.sum(F.col("tf") * F.col("m")).alias("count"), F.sum("m").alias("docs"))
     )
-    counts = stored(counts, "divergence_counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("df")).where(F.col("df") >= least_docs)
-    return stored(counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi"), "divergence_kept")
+    # A window has one row per source that holds the term, so the counts cross one
+    # shuffle to be filtered and need not be stored before.
+    held = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    kept = counts.withColumn("_held", held).where(F.col("_held") >= least_docs).drop("_held")
+    return stored(kept, "divergence_kept")
 
 
 def groups(docs: DataFrame, counts: DataFrame) -> DataFrame:

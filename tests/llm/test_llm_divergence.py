@@ -96,3 +96,21 @@ def test_only_a_to_z_are_lower_cased(spark):
     counts = divergence.term_counts(spark.createDataFrame(rows, DOCS), least_docs=1).collect()
     got = {(r["term"], r["count"]) for r in counts}
     assert got == {("École", 2), ("word", 2), ("Ωmega", 1), ("ωmega", 1)}
+
+
+def test_kept_terms_cross_one_shuffle_and_are_stored_once(spark, monkeypatch):
+    rows = [("one two", "en", s) for s in ("a", "a", "b")] + [("two three", "en", None), ("two", "de", "a"), (None, "en", "c")]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    store, plans = divergence.stored, {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(divergence, "stored", noted)
+    kept = divergence.term_counts(docs, 3)
+    assert {tuple(r) for r in kept.collect()} == {
+        ("en", "a", "one", 2, 2), ("en", "b", "one", 1, 1),
+        ("en", "a", "two", 2, 2), ("en", "b", "two", 1, 1), ("en", "", "two", 1, 1),
+    }
+    assert list(plans) == ["divergence_kept"] and "LeftSemi" not in plans["divergence_kept"]
