@@ -133,7 +133,10 @@ def compress(ids: np.ndarray, counts: np.ndarray, most: int = PAIRS_A_ROUND, lea
             marked[look] = True
             at = np.flatnonzero(marked).astype(wide)
         else:
-            at = np.unique(look)
+            look.sort()  # much cheaper than np.unique, which hashes first
+            once = np.ones(len(look), bool)
+            once[1:] = look[1:] != look[:-1]
+            at = look[once]
     last, symbols = last[alive], symbols[alive]
     ends = np.flatnonzero(last) + 1
     sizes = np.zeros(len(counts), np.uint32)

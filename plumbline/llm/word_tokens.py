@@ -7,6 +7,7 @@ import re
 from codecs import charmap_decode
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -49,7 +50,9 @@ class WordEncoder:
         self.last = np.zeros(self.whole.get_vocab_size(), bool)
         for token, i in lean["model"]["vocab"].items():
             self.last[i] = token.endswith(suffix)
-        self.visible = _byte_alphabet()
+        # A space parts the pieces of a line; no piece holds one.
+        alphabet = _byte_alphabet()
+        self.visible = alphabet[:32] + " " + alphabet[33:]
         self.remember = remember
         self.known: dict[bytes, bytes] = {}
         [mark] = self.whole.encode(_BREAK, add_special_tokens=False).ids
@@ -60,7 +63,7 @@ class WordEncoder:
         if not pieces:
             return []
         lines = [
-            " ".join(charmap_decode(p, "strict", self.visible)[0] for p in pieces[i : i + 500])
+            charmap_decode(b" ".join(pieces[i : i + 500]), "strict", self.visible)[0]
             for i in range(0, len(pieces), 500)
         ]
         ids = np.concatenate(
@@ -91,8 +94,13 @@ class WordEncoder:
 
     def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Ids of new words, whose ASCII letters are in lower case."""
-        plain, odd, alone = [], [], []
+        bare, odd, alone = [], [], []
+        # Side by side, not as tuples, which the garbage collector would go through.
+        plain, stems, tails = [], [], []
         for word in words:
+            if word.isalpha():
+                bare.append(word)
+                continue
             stem = piece = word.rstrip(_MARKS)
             if not stem.isalpha():
                 text = stem.decode()
@@ -101,16 +109,19 @@ class WordEncoder:
                     (alone if _BREAK in text else odd).append((word, text))
                     continue
                 piece = text.lower().encode()
-            plain.append((word, piece, word[len(stem) :]))
+            plain.append(word)
+            stems.append(piece)
+            tails.append(word[len(stem) :])
         known = self.known
-        pieces = {piece for _, piece, _ in plain} | {marks for _, _, marks in plain}
-        new = [p for p in pieces if p and p not in known]
+        pieces = {*stems, *tails}
+        new = bare + [p for p in pieces.difference(bare) if p and p not in known]
         ids = dict(zip(new, self._pieces(new)))
         ids[b""] = b""
-        found = {
-            word: (ids[piece] if piece in ids else known[piece]) + (ids[marks] if marks in ids else known[marks])
-            for word, piece, marks in plain
-        }
+        found = {word: ids[word] for word in bare}
+        found.update(
+            (word, (ids[piece] if piece in ids else known[piece]) + (ids[marks] if marks in ids else known[marks]))
+            for word, piece, marks in zip(plain, stems, tails)
+        )
         if odd:
             found.update(zip((w for w, _ in odd), self._odd([t for _, t in odd])))
         for word, text in alone:
@@ -121,10 +132,10 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # Ids do not tell upper from lower case.
         words = [t.lower().split() for t in texts]
-        new = set().union(*words).difference(self.known)
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(words)))
         if len(self.known) + len(new) > self.remember:
-            self.known = {}
-            new = set().union(*words)
+            # What these texts hold stays known.
+            self.known = {w: self.known[w] for w in set(chain.from_iterable(words)).difference(new)}
         self.known.update(self._learn(new))
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]

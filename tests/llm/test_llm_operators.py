@@ -424,6 +424,18 @@ def test_words_one_by_one_are_the_whole_text():
     assert np.frombuffer(WordEncoder(spec).encode([text.encode()])[0], "<u2").tolist() == plain_ids(text)[:-1]
 
 
+def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
+    spec = open(public_tokenizers.path("word_bpe_49k.json")).read()
+    encoder, learned = WordEncoder(spec, remember=8), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learn(learned.append(sorted(words)) or learned[-1]))
+    texts = ["ab cd ef's gh (é) ab", "cd x1 ab, ab kl mn op", "x1 cd ab"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u2").tolist() == plain_ids(text)[:-1]
+    # the second text overflows the memory; of the first one it takes over what it holds itself
+    assert learned[1] == [b"ab,", b"kl", b"mn", b"op", b"x1"] and learned[2] == []
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     ids = np.concatenate([np.tile(rng.integers(0, 50, 40), 60), rng.integers(0, 49_408, 500), np.tile([7], 300)])
