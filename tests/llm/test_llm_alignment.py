@@ -1,6 +1,7 @@
 """op12: cross-tokenizer alignment against a literal reading of the contract."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -101,3 +102,44 @@ def test_alignment_matches_a_literal_reading(spark):
 
 def test_alignment_of_an_empty_table(spark):
     assert T.alignment(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def _words(**limits):
+    return T.Words(public_tokenizers.path(T.A_FILE), public_tokenizers.path(T.B_FILE), **limits)
+
+
+def _rows(words, texts):
+    sizes, digests, *pairs = words.align(texts)
+    return sizes.tolist(), digests, *(p.tolist() for p in pairs)
+
+
+def test_words_align_as_whole_texts_do():
+    atoms = [
+        " ", " ", "  ", "\n", "\t", "\r\n", "▁", "᠎", " ", "　", "\x1c", "​", "'s", "'", "***",
+        "the", "Word", "Straße", "日本語", "🙂", "12", "Ⅳ", "</s>", "<|endoftext|>", "x" * 40, "\x00", ".", "!'s", "é",
+    ]
+    rnd = random.Random(12)
+    texts = ["a " + "".join(rnd.choices(atoms, k=rnd.randint(0, 25))) for _ in range(3000)]
+    whole = _words()
+    whole.cuts = False
+    expected = _rows(whole, texts)
+    assert _rows(_words(), texts) == expected
+    few = _words(remember=100, remember_chars=2_000)  # forgets again and again
+    sizes, digests = [], []
+    for i in range(0, len(texts), 50):
+        got = _rows(few, texts[i : i + 50])
+        sizes += got[0]
+        digests += got[1]
+    assert (sizes, digests) == expected[:2]
+    assert "" in digests and any(digests)
+
+
+def test_a_word_is_encoded_once():
+    words = _words()
+    seen = []
+    tokens = words._tokens
+    words._tokens = lambda lines: seen.extend(lines) or tokens(lines)
+    texts = [f"the same words again and again, {i}" for i in range(500)]
+    assert all(words.align(texts)[1])
+    assert words.align(texts)[0][:, 0].min() > 7
+    assert sum(map(len, seen)) < sum(map(len, texts)) / 4
