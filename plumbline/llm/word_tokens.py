@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from codecs import charmap_decode
 from collections.abc import Iterable
@@ -39,6 +40,7 @@ class WordEncoder:
     """
 
     def __init__(self, spec: str, remember: int = REMEMBER):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_str(spec)
         self.whole.encode_special_tokens = True
         lean = json.loads(spec)

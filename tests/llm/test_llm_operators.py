@@ -1,6 +1,7 @@
 """Each training-data operator against brute force on small and awkward tables."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -436,6 +437,12 @@ def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
     assert learned[1] == [b"ab,", b"kl", b"mn", b"op", b"x1"] and learned[2] == []
 
 
+def test_words_are_encoded_on_one_core(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    WordEncoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(3)
     ids = np.concatenate([np.tile(rng.integers(0, 50, 40), 60), rng.integers(0, 49_408, 500), np.tile([7], 300)])
