@@ -59,7 +59,8 @@ def bands(lines: list[str]) -> np.ndarray:
     at = np.arange(len(owner)) + np.repeat(ends - sizes - (np.cumsum(counts) - counts), counts)
     rolled = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
     for k in range(SHINGLE):
-        rolled = rolled * _ODD + codes[k : len(codes) - SHINGLE + 1 + k]
+        rolled *= _ODD
+        rolled += codes[k : len(codes) - SHINGLE + 1 + k]
     h = _mixed(rolled[at])
     slots = 1 << _SLOT_BITS
     place = owner * slots + (h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
@@ -111,11 +112,8 @@ def _lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((rid, doc_id, -1, len(lines), None, None))
             for i, line in enumerate(lines):
                 if line.strip():
-                    h, h2 = (
-                        int(np.uint64(xxhash.xxh64_intdigest(line, seed)).view(np.int64))
-                        for seed in (_SEED, _SECOND)
-                    )
-                    rows.append((rid, doc_id, i, len(lines), h, h2))
+                    h, h2 = xxhash.xxh64_intdigest(line, _SEED), xxhash.xxh64_intdigest(line, _SECOND)
+                    rows.append((rid, doc_id, i, len(lines), h - (h >> 63 << 64), h2 - (h2 >> 63 << 64)))
                     texts.append(line.decode())
                     size += len(line)
                     if size > _GROUP:
@@ -125,8 +123,7 @@ def _lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer(rows, texts)
 
 
-def _near(cell):
-    lines = cell["line"]
+def _near_any(lines: list[str]):
     known: dict[int, frozenset[str]] = {}
 
     def of(i: int) -> frozenset[str]:
@@ -146,6 +143,42 @@ def _near(cell):
     return near
 
 
+def _near_latin(texts: list[str]):
+    """As ``_near_any`` for plain Latin-1 lines without NUL: eight characters are the eight bytes of one number."""
+    raw = [text.ljust(SHINGLE, "\0").encode("latin-1") for text in texts]
+    whole = b"".join(raw)
+    window = np.ndarray((len(whole) - SHINGLE + 1,), np.uint64, whole, strides=(1,))
+    sets, start = [], 0
+    for text in raw:
+        numbers = np.sort(window[start : start + len(text) - SHINGLE + 1])
+        start += len(text)
+        new = numbers[1:] != numbers[:-1]
+        sets.append(numbers if new.all() else numbers[np.append(True, new)])
+    sizes = np.array(list(map(len, sets)))
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        own, size = sets[i], sizes[others]
+        hits = np.minimum(len(own), size) >= SIMILAR * np.maximum(len(own), size)
+        at = np.flatnonzero(hits)
+        # A few hundred thousand shingles of the others at a time.
+        upto = np.cumsum(size[at])
+        for part in np.split(at, np.flatnonzero(np.diff(upto >> 18)) + 1) if len(at) else ():
+            theirs = np.concatenate([sets[j] for j in others[part].tolist()])
+            same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            both = np.add.reduceat(same, np.cumsum(size[part]) - size[part], dtype=np.int64)
+            hits[part] = both >= SIMILAR * (len(own) + size[part] - both)
+        return hits
+
+    return near
+
+
+def _near(cell):
+    texts = [plain(line) for line in cell["line"]]
+    whole = "".join(texts)
+    latin = "\0" not in whole and (whole.isascii() or max(whole) <= "\xff")
+    return _near_latin(texts) if latin else _near_any(cell["line"])
+
+
 def line_classes(docs: DataFrame) -> DataFrame:
     """Every line with a word of ``docs (rid, doc_id, text)``, and whether it is kept.
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -654,3 +655,16 @@ def test_large_buckets_are_cut_into_cells(spark):
 
     links = bucket_links(df, ["b"], "id", ["v"], near, cell=40)
     assert {r.root for r in components(links).collect()} == {0}
+
+
+def test_shingles_as_numbers_link_as_shingles_do():
+    rnd = random.Random(9)
+    for chars in ("abc dÄÿ ", "ab日 c", "ab\0c"):
+        base = ["".join(rnd.choices(chars, k=rnd.choice([3, 8, 60, 300]))) for _ in range(30)]
+        lines = base + ["".join(rnd.choice(chars) if rnd.random() < 0.01 else c for c in b) for b in base for _ in (1, 2)]
+        near, others = line_dedup._near({"line": lines}), np.arange(len(lines))
+        sets = [line_dedup.shingles(line) for line in lines]
+        for i, own in enumerate(sets):
+            brute = [len(own & s) >= line_dedup.SIMILAR * len(own | s) for s in sets]
+            assert near(i, others).tolist() == brute
+    assert line_dedup._near_latin(["abcdefgh"])(0, np.arange(0)).tolist() == []
