@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from plumbline.llm.common import stored
 from plumbline.operators.scale import lookup_join
@@ -171,15 +172,21 @@ class Words:
     """Alignments of words, each with the space before it; a text is its words one after the other.
 
     A's pre-tokenizer begins a piece at each space that follows something else,
-    and no piece of B holds a space mark behind another character (checked on
-    its vocabulary), so that both encode a text as they encode its words, and
+    and no piece of B holds a space mark behind another character (both are
+    checked; other tokenizers get whole texts), so that both encode a text as they encode its words, and
     every such place ends a group. Each word is aligned once and remembered.
     """
 
     def __init__(self, a_path: str, b_path: str, remember: int = REMEMBER, remember_chars: int = REMEMBER_CHARS):
         self.a, self.b, self.a_bytes, self.b_bytes, self.a_size, self.b_size = tokenizers(a_path, b_path)
         pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
-        self.cuts = not any(_SPACE_MARK in p.lstrip(_SPACE_MARK) for p in pieces)
+        split = self.a.pre_tokenizer
+        self.cuts = (
+            isinstance(split, ByteLevel)
+            and split.use_regex
+            and self.a.normalizer is None
+            and not any(_SPACE_MARK in p.lstrip(_SPACE_MARK) for p in pieces)
+        )
         self.remember, self.remember_chars = remember, remember_chars
         self.b_ids, self.span = len(self.b_bytes), len(self.a_bytes) * len(self.b_bytes)
         self.shown = _shown(len(self.a_bytes), "|"), _shown(len(self.b_bytes), ";")
