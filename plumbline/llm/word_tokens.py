@@ -4,23 +4,36 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from codecs import charmap_decode
-from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words whose ids are remembered per Python worker.
 REMEMBER = 300_000
 
 #: ASCII marks that make one piece behind a word; an apostrophe may begin an ending instead.
-_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Letters whose normal form and lower case are plain.
-_LATIN = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words of letters whose normal form and lower case are plain.
+_LATIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
 _BREAK = "\x01"
+_NONE = np.zeros(0, np.uint16)
+
+
+def _flags(answers: pa.Array) -> np.ndarray:
+    return answers.to_numpy(zero_copy_only=False)
+
+
+def _gathered(ids: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids at ``places`` one after the other, and how many each has."""
+    size = sizes[places]
+    start = (np.cumsum(sizes) - sizes)[places]
+    start -= np.cumsum(size) - size
+    return ids[np.repeat(start, size) + np.arange(size.sum())], size
 
 
 def _byte_alphabet() -> str:
@@ -56,28 +69,27 @@ class WordEncoder:
         alphabet = _byte_alphabet()
         self.visible = alphabet[:32] + " " + alphabet[33:]
         self.remember = remember
-        self.known: dict[bytes, bytes] = {}
+        # The place of each word; how many ids each place has, and the ids themselves, in that order.
+        self.known: dict[bytes, int] = {b"": 0}
+        self.sizes, self.ids = np.zeros(1, np.int64), _NONE
         [mark] = self.whole.encode(_BREAK, add_special_tokens=False).ids
         self.mark = mark
 
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece: every one ends with the one id that closes a word."""
-        if not pieces:
-            return []
+    def _pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many of each: every one ends with the one id that closes a word."""
         lines = [
             charmap_decode(b" ".join(pieces[i : i + 500]), "strict", self.visible)[0]
             for i in range(0, len(pieces), 500)
         ]
         ids = np.concatenate(
-            [np.array(e.ids, np.uint16) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False)]
+            [_NONE, *(np.array(e.ids, np.uint16) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False))]
         )
-        ends = (2 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(pieces):
             raise ValueError("a piece does not end with one closing id")
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return ids, np.diff(ends, prepend=0)
 
-    def _odd(self, words: list[str]) -> list[bytes]:
+    def _odd(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words that need the whole pipeline, split at a mark that none of them holds."""
         ids = [
             np.array(e.ids, np.uint16)
@@ -89,58 +101,74 @@ class WordEncoder:
         found = []
         for line in ids:
             cuts = np.flatnonzero(line == self.mark)
-            found.extend(
-                line[a:b].tobytes() for a, b in zip(np.append(-1, cuts) + 1, np.append(cuts, len(line)))
-            )
+            found.extend(line[a:b] for a, b in zip(np.append(-1, cuts) + 1, np.append(cuts, len(line))))
         return found
 
-    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words, whose ASCII letters are in lower case."""
-        bare, odd, alone = [], [], []
-        # Side by side, not as tuples, which the garbage collector would go through.
-        plain, stems, tails = [], [], []
-        for word in words:
-            if word.isalpha():
-                bare.append(word)
-                continue
-            stem = piece = word.rstrip(_MARKS)
-            if not stem.isalpha():
-                text = stem.decode()
-                if stem and not _LATIN.fullmatch(text):
-                    text = word.decode()
-                    (alone if _BREAK in text else odd).append((word, text))
-                    continue
-                piece = text.lower().encode()
-            plain.append(word)
-            stems.append(piece)
-            tails.append(word[len(stem) :])
-        known = self.known
-        pieces = {*stems, *tails}
-        new = bare + [p for p in pieces.difference(bare) if p and p not in known]
-        ids = dict(zip(new, self._pieces(new)))
-        ids[b""] = b""
-        found = {word: ids[word] for word in bare}
-        found.update(
-            (word, (ids[piece] if piece in ids else known[piece]) + (ids[marks] if marks in ids else known[marks]))
-            for word, piece, marks in zip(plain, stems, tails)
+    def _learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words, whose ASCII letters are in lower case."""
+        whole = pa.array(words, pa.large_binary()).cast(pa.large_string())
+        stems = pc.ascii_rtrim(whole, characters=_MARKS)
+        plain = _flags(pc.ascii_is_alpha(stems)) | _flags(pc.equal(stems, ""))
+        rest = np.flatnonzero(~plain)
+        latin = rest[_flags(pc.match_substring_regex(stems.take(rest), _LATIN))]
+        stemmed, tailed = np.flatnonzero(plain), _flags(pc.less(pc.binary_length(stems), pc.binary_length(whole)))
+        plain[latin] = True
+        tailed = np.flatnonzero(tailed & plain)
+        cut = pc.binary_length(stems).take(tailed).to_pylist()
+        tails = [words[i][n:] for i, n in zip(tailed.tolist(), cut)]
+        # Each piece once; a word is a stem, marks or both.
+        parts = pa.chunked_array(
+            [stems.take(stemmed), pc.utf8_lower(stems.take(latin)), pa.array(tails, pa.large_binary()).cast(pa.large_string())]
         )
-        if odd:
-            found.update(zip((w for w, _ in odd), self._odd([t for _, t in odd])))
-        for word, text in alone:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-            found[word] = np.array(ids, np.uint16).tobytes()
-        return found
+        parts = parts.combine_chunks().dictionary_encode()
+        pieces = parts.dictionary.cast(pa.large_binary()).to_pylist()
+        place = np.array([self.known.get(p, -1) for p in pieces], np.int64)
+        new = np.flatnonzero(place < 0)
+        ids, sizes = self._pieces([pieces[i] for i in new.tolist()])
+        place[new] = len(self.sizes) + np.arange(len(new))
+        # Behind the words known: the new pieces, then the odd words.
+        odd = np.flatnonzero(~plain)
+        texts = [words[i].decode() for i in odd.tolist()]
+        others = self._odd([t for t in texts if _BREAK not in t])[::-1]
+        others = [
+            np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint16) if _BREAK in t else others.pop()
+            for t in texts
+        ]
+        table = np.concatenate([self.ids, ids, *others])
+        lengths = np.concatenate([self.sizes, sizes, np.array(list(map(len, others)), np.int64)])
+        # Two places a word, the second of which is empty without marks.
+        both = np.zeros((len(words), 2), np.int64)
+        at = place[parts.indices.to_numpy()]
+        both[np.concatenate([stemmed, latin]), 0] = at[: len(stemmed) + len(latin)]
+        both[tailed, 1] = at[len(stemmed) + len(latin) :]
+        both[odd, 0] = len(self.sizes) + len(new) + np.arange(len(odd))
+        found, sizes = _gathered(table, lengths, both.ravel())
+        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.ids = np.concatenate([self.ids, found])
+        self.sizes = np.concatenate([self.sizes, sizes.reshape(-1, 2).sum(1)])
+
+    def _forget(self, words: list[bytes]) -> None:
+        """Of the words known, only these stay known."""
+        stay = [b"", *(w for w in words if w and w in self.known)]
+        self.ids, self.sizes = _gathered(self.ids, self.sizes, np.array([self.known[w] for w in stay], np.int64))
+        self.known = dict(zip(stay, range(len(stay))))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # Ids do not tell upper from lower case.
-        words = [t.lower().split() for t in texts]
-        new = set(filterfalse(self.known.__contains__, chain.from_iterable(words)))
-        if len(self.known) + len(new) > self.remember:
+        # Ids do not tell upper from lower case. White space at the ends of a text gives an empty word.
+        lines = pa.array([t.lower() for t in texts], pa.large_binary()).cast(pa.large_string())
+        lines = pc.ascii_split_whitespace(lines)
+        occurring = lines.flatten().dictionary_encode()
+        words = occurring.dictionary.cast(pa.large_binary()).to_pylist()
+        new = list(filterfalse(self.known.__contains__, words))
+        if len(self.known) - 1 + len(new) > self.remember:
             # What these texts hold stays known.
-            self.known = {w: self.known[w] for w in set(chain.from_iterable(words)).difference(new)}
-        self.known.update(self._learn(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self._forget(words)
+        self._learn(new)
+        place = np.array([self.known[w] for w in words], np.int64)
+        ids, sizes = _gathered(self.ids, self.sizes, place[occurring.indices.to_numpy()])
+        ends = 2 * np.append(0, np.cumsum(sizes))[lines.offsets.to_numpy()]
+        raw = ids.astype("<u2", copy=False).tobytes()
+        return [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
 @lru_cache(maxsize=1)

@@ -438,6 +438,24 @@ def test_a_full_memory_keeps_the_words_at_hand(monkeypatch):
     assert learned[1] == [b"ab,", b"kl", b"mn", b"op", b"x1"] and learned[2] == []
 
 
+def test_a_word_is_looked_up_once_for_many_occurrences():
+    asked = []
+
+    class Known(dict):
+        def __contains__(self, word):
+            return asked.append(word) or super().__contains__(word)
+
+        def __getitem__(self, word):
+            return asked.append(word) or super().__getitem__(word)
+
+    encoder = WordEncoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    encoder.known = Known(encoder.known)
+    texts = ["ab, Cd ef's\t" * 500, "", " ", "\x0bcd\x1cé É. é." * 300]
+    got = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode([t.encode() for t in texts])]
+    assert got == [plain_ids(t)[:-1] for t in texts]
+    assert len(asked) < 50
+
+
 def test_words_are_encoded_on_one_core(monkeypatch):
     monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
     WordEncoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
