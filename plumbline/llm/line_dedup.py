@@ -28,6 +28,8 @@ _SLOT_BITS = 5
 _TOP = np.uint64((1 << 64) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _GROUP = 1 << 19
+#: Lines of like size up to which each is compared by itself.
+_FEW = 8
 _FAR = np.arange(1 << _SLOT_BITS, dtype=np.uint64) * _ODD
 
 
@@ -48,25 +50,35 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) keys. One hash of each shingle fills one of 32 slots; empty slots borrow from the next."""
-    texts = [plain(line).ljust(SHINGLE, "\0") for line in lines]
-    sizes = np.array([len(t) for t in texts])
+def _least(texts: list[str]) -> np.ndarray:
+    """(texts, slots): the least hash of a shingle in each slot; an empty slot has ``_TOP``."""
+    sizes = np.array(list(map(len, texts)))
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    ends = np.cumsum(sizes)
-    counts = sizes - SHINGLE + 1
-    owner = np.repeat(np.arange(len(texts)), counts)
-    at = np.arange(len(owner)) + np.repeat(ends - sizes - (np.cumsum(counts) - counts), counts)
-    rolled = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
-    for k in range(SHINGLE):
-        rolled *= _ODD
-        rolled += codes[k : len(codes) - SHINGLE + 1 + k]
-    h = _mixed(rolled[at])
+    # Shingles of twice the characters from two, as one polynomial of the characters.
+    rolled, factor, span = codes, int(_ODD), 1
+    while span < SHINGLE:
+        rolled = rolled[:-span] * np.uint64(factor) + rolled[span:]
+        factor, span = factor * factor % (1 << 64), 2 * span
+    h = _mixed(rolled)
+    # What begins in one line and ends in the next is no shingle.
+    over = (np.cumsum(sizes)[:-1, None] - np.arange(1, SHINGLE)).ravel()
+    h[over] = _TOP
     slots = 1 << _SLOT_BITS
-    place = owner * slots + (h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    place = np.repeat(np.arange(len(texts)) * slots, sizes)[: len(h)]
+    place += (h >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
     least = np.full(len(texts) * slots, _TOP)
     np.minimum.at(least, place, h)
-    least = least.reshape(-1, slots)
+    return least.reshape(-1, slots)
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """(lines, BANDS) keys. One hash of each shingle fills one of 32 slots; empty slots borrow from the next."""
+    texts = [plain(line).ljust(SHINGLE, "\0") for line in lines]
+    # As many lines at a time as a core's cache has room for.
+    cuts = np.flatnonzero(np.diff(np.cumsum(list(map(len, texts))) >> 15)) + 1
+    cuts = [0, *cuts.tolist(), len(texts)]
+    least = np.concatenate([_least(texts[i:j]) for i, j in zip(cuts, cuts[1:])])
+    slots = 1 << _SLOT_BITS
     filled = least.copy()
     empty = least == _TOP
     for step in range(1, slots):
@@ -153,16 +165,25 @@ def _near_latin(texts: list[str]):
         numbers = np.sort(window[start : start + len(text) - SHINGLE + 1])
         start += len(text)
         new = numbers[1:] != numbers[:-1]
-        sets.append(numbers if new.all() else numbers[np.append(True, new)])
+        sets.append(numbers if new.all() else numbers[np.concatenate(([True], new))])
     sizes = np.array(list(map(len, sets)))
 
     def near(i: int, others: np.ndarray) -> np.ndarray:
         own, size = sets[i], sizes[others]
         hits = np.minimum(len(own), size) >= SIMILAR * np.maximum(len(own), size)
-        at = np.flatnonzero(hits)
+        at = hits.nonzero()[0]
+        if len(at) <= _FEW:
+            for k in at.tolist():
+                # Two sets after each other: what both hold stands twice once sorted.
+                theirs = sets[others[k]]
+                pair = np.concatenate((own, theirs))
+                pair.sort(kind="stable")
+                both = np.count_nonzero(pair[1:] == pair[:-1])
+                hits[k] = both >= SIMILAR * (len(own) + len(theirs) - both)
+            return hits
         # A few hundred thousand shingles of the others at a time.
         upto = np.cumsum(size[at])
-        for part in np.split(at, np.flatnonzero(np.diff(upto >> 18)) + 1) if len(at) else ():
+        for part in np.split(at, np.flatnonzero(np.diff(upto >> 18)) + 1):
             theirs = np.concatenate([sets[j] for j in others[part].tolist()])
             same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
             both = np.add.reduceat(same, np.cumsum(size[part]) - size[part], dtype=np.int64)
@@ -174,9 +195,10 @@ def _near_latin(texts: list[str]):
 
 def _near(cell):
     texts = [plain(line) for line in cell["line"]]
-    whole = "".join(texts)
-    latin = "\0" not in whole and (whole.isascii() or max(whole) <= "\xff")
-    return _near_latin(texts) if latin else _near_any(cell["line"])
+    try:
+        return _near_any(cell["line"]) if any("\0" in text for text in texts) else _near_latin(texts)
+    except UnicodeEncodeError:
+        return _near_any(cell["line"])
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

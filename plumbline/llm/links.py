@@ -81,18 +81,29 @@ def bucket_links(
     placed = placed.repartition("_cell").sortWithinPartitions("_cell", "_member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def judged(rows: pa.Table) -> list[tuple[int, int]]:
-            if rows.num_rows < 2:
-                return []
-            ids = rows.column("_member").to_numpy()
-            columns = {
-                p: rows.column(p).to_numpy()
-                if pa.types.is_integer(rows.schema.field(p).type)
-                else rows.column(p).to_pylist()
-                for p in payload
-            }
-            pairs = spanning_links(len(ids), near(columns))
-            return [(int(ids[i]), int(ids[j])) for i, j in pairs if ids[i] != ids[j]]
+        def judged(rows: pa.Table, edges: list[int]) -> list[tuple[int, int]]:
+            """Links of the cells between ``edges``; columns are turned over for many small cells at once."""
+            pairs, first = [], 0
+            while first < len(edges) - 1:
+                last = first + 1
+                while last < len(edges) - 1 and edges[last + 1] - edges[first] <= 2 * cell:
+                    last += 1
+                part = rows.slice(edges[first], edges[last] - edges[first])
+                ids = part.column("_member").to_pylist()
+                columns = {
+                    p: part.column(p).to_numpy()
+                    if pa.types.is_integer(part.schema.field(p).type)
+                    else part.column(p).to_pylist()
+                    for p in payload
+                }
+                for k in range(first, last):
+                    start, end = edges[k] - edges[first], edges[k + 1] - edges[first]
+                    if end - start > 1:
+                        own = ids[start:end]
+                        links = spanning_links(end - start, near({p: c[start:end] for p, c in columns.items()}))
+                        pairs.extend((own[i], own[j]) for i, j in links if own[i] != own[j])
+                first = last
+            return pairs
 
         def answer(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
             a, b = zip(*pairs) if pairs else ((), ())
@@ -106,13 +117,11 @@ def bucket_links(
             rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
             cells = rows.column("_cell").to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist()]
-            pairs = []
-            for start, end in zip(edges, edges[1:]):
-                pairs.extend(judged(rows.slice(start, end - start)))
+            pairs = judged(rows, edges)
             rest = rows.slice(edges[-1])
             if pairs:
                 yield answer(pairs)
-        if rest is not None and (pairs := judged(rest)):
+        if rest is not None and (pairs := judged(rest, [0, rest.num_rows])):
             yield answer(pairs)
 
     return placed.mapInArrow(run, "a bigint, b bigint")

@@ -686,3 +686,36 @@ def test_shingles_as_numbers_link_as_shingles_do():
             brute = [len(own & s) >= line_dedup.SIMILAR * len(own | s) for s in sets]
             assert near(i, others).tolist() == brute
     assert line_dedup._near_latin(["abcdefgh"])(0, np.arange(0)).tolist() == []
+
+
+def test_two_lines_are_compared_by_one_sort(monkeypatch):
+    lines = ["abc dä " * 40, "abc dä " * 39 + "xyz", "other words " * 30]
+    near = line_dedup._near({"line": lines})
+    monkeypatch.setattr(np, "searchsorted", lambda *_: 1 / 0)
+    sets = [line_dedup.shingles(line) for line in lines]
+    for i, own in enumerate(sets):
+        assert near(i, np.arange(3)).tolist() == [len(own & s) >= line_dedup.SIMILAR * len(own | s) for s in sets]
+
+
+def test_sketches_are_made_a_few_lines_at_a_time(monkeypatch):
+    rnd, most = random.Random(11), []
+    lines = ["".join(rnd.choices("ab dÄ日\0", k=rnd.choice([1, 8, 9, 90, 900]))) for _ in range(400)]
+    lines[7] = lines[8] = lines[9] = "long " * 20_000
+    least = line_dedup._least
+    monkeypatch.setattr(line_dedup, "_least", lambda texts: most.append(sum(map(len, texts))) or least(texts))
+    keys = line_dedup.bands(lines)
+    assert len(most) > 5 and sorted(most)[-4] < 1 << 17
+    for k in (0, 7, 8, 200, 399):
+        assert (line_dedup.bands([lines[k]])[0] == keys[k]).all()
+    # a slot's least hash, shingle by shingle
+    text, top, wrap = "some Words and more", (1 << 64) - 1, 1 << 64
+    want = [top] * 32
+    for i in range(len(text) - 7):
+        h = 0
+        for c in text[i : i + 8]:
+            h = (h * 0x9E3779B97F4A7C15 + ord(c)) % wrap
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 % wrap
+        h = (h ^ h >> 29) * 0x94D049BB133111EB % wrap
+        h ^= h >> 32
+        want[h >> 59] = min(want[h >> 59], h)
+    assert least(["x" * 9, text, "y" * 9])[1].tolist() == want
