@@ -12,6 +12,8 @@ from plumbline.operators.scale import lookup_join
 
 #: A bucket of more members is dealt out in chunks of about this size.
 CELL = 1_024
+#: Small cells leave Arrow together, about so much of their columns at a time.
+_TURNED_BYTES = 1 << 20
 
 
 def spanning_links(size: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
@@ -82,11 +84,12 @@ def bucket_links(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def judged(rows: pa.Table, edges: list[int]) -> list[tuple[int, int]]:
-            """Links of the cells between ``edges``; columns are turned over for many small cells at once."""
+            """Links of the cells between ``edges``; columns leave Arrow for many small cells at once."""
             pairs, first = [], 0
+            most = _TURNED_BYTES * rows.num_rows // max(1, rows.nbytes)
             while first < len(edges) - 1:
                 last = first + 1
-                while last < len(edges) - 1 and edges[last + 1] - edges[first] <= 2 * cell:
+                while last < len(edges) - 1 and edges[last + 1] - edges[first] <= most:
                     last += 1
                 part = rows.slice(edges[first], edges[last] - edges[first])
                 ids = part.column("_member").to_pylist()
