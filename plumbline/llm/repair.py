@@ -10,7 +10,7 @@ import numpy as np
 FIRST_RULE = 49_408
 PAIRS_A_ROUND, LEAST = 2_048, 12
 
-_BUCKETS = 20
+_BUCKETS = 18
 
 
 @dataclass(frozen=True)

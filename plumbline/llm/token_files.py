@@ -21,7 +21,7 @@ END = 2
 #: A block is closed by the document that brings it to so many ids.
 BLOCK_IDS = 1 << 20
 #: Text that is tokenized at once.
-_GROUP_BYTES = 1 << 22
+_GROUP_BYTES = 1 << 23
 
 _BLOCK = pa.schema(
     [
